@@ -9,13 +9,11 @@ from pyspark.sql import functions as F
 def without_seen(ranked: Column, seen: Column, k: int) -> Column:
     """First ``k`` entries of a ranked list whose ``track_index`` is not in ``seen``.
 
-    Only the first ``k + size(seen)`` entries can matter, so the rest of the
-    list is never touched.
+    Pass plain columns of a join: filters on the result may be pushed below, and
+    what the lambda refers to is then evaluated for each entry.
     """
-    head = F.slice(ranked, F.lit(1), F.lit(k) + F.size(seen))
-    known = F.array_intersect(head.getField("track_index"), seen)
-    kept = F.filter(head, lambda entry: ~F.array_contains(known, entry["track_index"]))
-    return F.slice(F.when(F.size(known) == 0, head).otherwise(kept), 1, k)
+    left = F.filter(ranked, lambda entry: ~F.array_contains(seen, entry["track_index"]))
+    return F.slice(left, 1, k)
 
 
 def best_first(recommendations: Column) -> Column:

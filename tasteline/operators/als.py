@@ -75,9 +75,9 @@ def recommend(
     """(user_index, recommendations): top ``k`` tracks, without those in ``seen``.
 
     A user with n seen tracks is asked for k + n candidates at least. Users are
-    asked in bands of similar n (powers of 4), so a long list of one user does
-    not lengthen the lists of others; seen tracks are then taken out array by
-    array. Users with more than ``max_fetch`` seen tracks are scored on the
+    asked in bands of similar n (up to k / 8, then powers of 4 of that), so a
+    long list of one user does not lengthen the lists of others; seen tracks are
+    then taken out array by array. Users with more than ``max_fetch`` seen tracks are scored on the
     pairs that are left instead.
     """
     users = users.select("user_index").distinct()
@@ -91,29 +91,31 @@ def recommend(
         light_users = users.join(heavy, "user_index", "left_anti")
         light_seen = seen.join(heavy, "user_index", "left_anti")
     lists = light_seen.groupBy("user_index").agg(F.collect_set("track_index").alias("_seen"))
+    first = max(16, k // 8)
+    n_seen = F.coalesce(F.size("_seen"), F.lit(0))
     banded = light_users.join(lists, "user_index", "left").select(
         "user_index",
         F.coalesce("_seen", empty_ints()).alias("_seen"),
-        F.ceil(F.log(4.0, F.coalesce(F.size("_seen"), F.lit(0)) + 1.0)).cast("int").alias("_band"),
+        F.ceil(F.log(4.0, F.greatest(n_seen / first, F.lit(1.0)))).cast("int").alias("_band"),
     )
     banded = materialize(banded, "bands")
-    # At most log4(max_fetch) + 1 values.
-    bands = sorted(r["_band"] for r in banded.select("_band").distinct().collect())
+    # A few rows: the bands grow by powers of 4 up to max_fetch.
+    bands = banded.groupBy("_band").agg(F.max(F.size("_seen")).alias("longest")).orderBy("_band").collect()
     parts = [
         model.recommendForUserSubset(
-            banded.where(F.col("_band") == band).select("user_index"), k + 4**band - 1
+            banded.where(F.col("_band") == band["_band"]).select("user_index"), k + band["longest"]
         )
         for band in bands
     ]
     out = []
     if parts:
-        fetched = reduce(DataFrame.union, parts).join(banded, "user_index")
-        ranked = best_first(F.col("recommendations"))
-        out.append(
-            fetched.select("user_index", "_seen", ranked.alias("_ranked")).select(
-                "user_index", without_seen(F.col("_ranked"), F.col("_seen"), k).alias("recommendations")
-            )
+        # Sorted below the join: above it, both lists are plain columns.
+        ranked = reduce(DataFrame.union, parts).select(
+            "user_index", best_first(F.col("recommendations")).alias("_ranked")
         )
+        fetched = ranked.join(banded.drop("_band"), "user_index")
+        unseen = without_seen(F.col("_ranked"), F.col("_seen"), k)
+        out.append(fetched.select("user_index", unseen.alias("recommendations")))
     if heavy is not None:
         heavy_users = users.join(heavy, "user_index", "left_semi").join(
             user_factors(model).select(F.col("id").alias("user_index")), "user_index", "left_semi"

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tasteline.functions.lists import best_first, empty_ints, without_seen
 from tasteline.operators.skew import heavy_keys, top_k
 from tasteline.operators.unseen import collect_best, unseen_pairs
 
@@ -24,9 +23,9 @@ def recommend_shared(
 
     A user with s seen tracks needs only the first k + s of the common list.
     The first k + ``headroom`` tracks of each run, a size fixed by the arguments,
-    are sent to all executors; the seen tracks among them come as one short
-    array per user, so no (user, track) candidate is ever shuffled. Users with
-    more than ``headroom`` seen tracks are served from the whole catalogue.
+    are sent to all executors; of the seen tracks only the places in that list
+    are shuffled, never a (user, track) candidate. Users with more than
+    ``headroom`` seen tracks are served from the whole catalogue.
     """
     users = users.select("user_index").distinct()
     if seen is None:
@@ -65,24 +64,35 @@ def _light(
     scores: DataFrame, users: DataFrame, k: int, runs: list[int], seen: DataFrame | None, length: int
 ) -> DataFrame:
     scores = scores.select("run_no", "track_index", "rating")
-    head = top_k(scores, ["run_no"], [F.desc("rating"), F.asc("track_index")], length).drop("pos")
-    common = head.groupBy("run_no").agg(
-        best_first(F.collect_list(F.struct("track_index", "rating"))).alias("_ranked")
+    # At most len(runs) * length rows.
+    head = top_k(scores, ["run_no"], [F.desc("rating"), F.asc("track_index")], length)
+    entries = F.sort_array(F.collect_list(F.struct("pos", "track_index", "rating")))
+    common = head.groupBy("run_no").agg(entries.alias("_e")).select(
+        "run_no", F.col("_e.track_index").alias("_tracks"), F.col("_e.rating").alias("_ratings")
     )
-    wanted = _with_runs(users, runs)
-    if seen is None:
-        wanted = wanted.withColumn("_seen", empty_ints())
-    else:
-        # head has at most len(runs) * length rows.
-        known = (
-            seen.join(F.broadcast(head.select("run_no", "track_index")), "track_index")
-            .join(users, "user_index", "left_semi")
-            .groupBy("run_no", "user_index")
-            .agg(F.collect_set("track_index").alias("_seen"))
-        )
-        wanted = wanted.join(known, ["run_no", "user_index"], "left").withColumn(
-            "_seen", F.coalesce("_seen", empty_ints())
+    rows = _with_runs(users, runs).withColumn("pos", F.lit(None).cast("int"))
+    if seen is not None:
+        known = seen.join(F.broadcast(head.select("run_no", "track_index", "pos")), "track_index")
+        rows = rows.unionByName(
+            known.join(users, "user_index", "left_semi").select("user_index", "run_no", "pos")
         )
-    return wanted.join(F.broadcast(common), "run_no").select(
-        "run_no", "user_index", without_seen(F.col("_ranked"), F.col("_seen"), k).alias("recommendations")
+    # A user's rows are few, but each grows to k entries: the number of tasks is
+    # fixed here, since it must not follow from the small input.
+    tasks = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    taken = (
+        rows.repartition(tasks, "user_index")
+        .groupBy("run_no", "user_index")
+        .agg(F.collect_set("pos").alias("_taken"))
+    )
+    places = F.sequence(F.lit(1), F.least(F.size("_tracks"), F.lit(k) + F.size("_taken")))
+    left = F.slice(F.array_except(F.when(F.size("_tracks") > 0, places), F.col("_taken")), 1, k)
+    return taken.join(F.broadcast(common), "run_no").select(
+        "run_no",
+        "user_index",
+        F.transform(
+            left,
+            lambda pos: F.struct(
+                F.get("_tracks", pos - 1).alias("track_index"), F.get("_ratings", pos - 1).alias("rating")
+            ),
+        ).alias("recommendations"),
     )

@@ -242,9 +242,9 @@ SELECT user_index, track_index, "count" FROM train ORDER BY user_index, track_in
     "bias_users_items": f"WITH {_bias(True, DAMPING)} SELECT user_index, round(user_bias, 6) AS user_bias FROM bu",
     "bias_global": f"WITH {_ENC}, {_MU} SELECT user_index, track_index, round(mu, 6) AS prediction FROM val, mu",
     "bias_topk": f"""WITH {_bias(False, DAMPING)}, {_lists(_BIAS_SCORES, False)}
-SELECT CAST(0 AS INTEGER) AS run_no, user_index, pos, track_index, round(mu + rating, 6) AS rating FROM lists, mu""",
+SELECT user_index, pos, track_index, round(mu + rating, 6) AS rating FROM lists, mu""",
     "bias_topk_unseen": f"""WITH {_bias(True, DAMPING)}, {_lists(_BIAS_SCORES, True)}
-SELECT CAST(0 AS INTEGER) AS run_no, user_index, pos, track_index, round(mu + user_bias + rating, 6) AS rating
+SELECT user_index, pos, track_index, round(mu + user_bias + rating, 6) AS rating
 FROM lists JOIN bu USING (user_index), mu""",
     "bias_precision": f"""WITH {_bias(False, DAMPING)}, {_lists(_BIAS_SCORES, True)}, {_HITS}, {_per_user(TOP)}
 SELECT count(*) AS n_users, round(avg(precision_at_k), 6) AS precision_at_k,
