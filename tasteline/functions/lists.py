@@ -6,16 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def without_seen(ranked: Column, seen: Column, k: int) -> Column:
-    """First ``k`` entries of a ranked list whose ``track_index`` is not in ``seen``.
-
-    Pass plain columns of a join: filters on the result may be pushed below, and
-    what the lambda refers to is then evaluated for each entry.
-    """
-    left = F.filter(ranked, lambda entry: ~F.array_contains(seen, entry["track_index"]))
-    return F.slice(left, 1, k)
-
-
 def best_first(recommendations: Column) -> Column:
     """Order a list by falling rating, equal ratings by rising track."""
     keyed = F.sort_array(
@@ -28,7 +18,3 @@ def best_first(recommendations: Column) -> Column:
         keyed,
         lambda r: F.struct(r["track_index"].alias("track_index"), (-r["low"]).alias("rating")),
     )
-
-
-def empty_ints() -> Column:
-    return F.array().cast("array<int>")

@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tasteline.functions.lists import best_first, empty_ints, without_seen
-from tasteline.operators.skew import heavy_keys
-from tasteline.operators.unseen import collect_best, unseen_pairs
-from tasteline.session import materialize, shared_root
+from tasteline.operators.blocks import BLOCK_ROWS, top_matches
+from tasteline.session import shared_root
 
 RATINGS_PER_BLOCK = 4_000_000
 MIN_BLOCKS = 10
 MAX_BLOCKS = 4_000
-MAX_FETCH = 4096
 
 
 class AlsParams(NamedTuple):
@@ -70,77 +66,36 @@ def recommend(
     users: DataFrame,
     k: int,
     seen: DataFrame | None = None,
-    max_fetch: int = MAX_FETCH,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(user_index, recommendations): top ``k`` tracks, without those in ``seen``.
 
-    A user with n seen tracks is asked for k + n candidates at least. Users are
-    asked in bands of similar n (up to k / 8, then powers of 4 of that), so a
-    long list of one user does not lengthen the lists of others; seen tracks are
-    then taken out array by array. Users with more than ``max_fetch`` seen tracks are scored on the
-    pairs that are left instead.
+    Same lists as the model's own method for a subset of users, which does not
+    leave out seen tracks; equal ratings come by rising track. Users without
+    factors drop out.
     """
-    users = users.select("user_index").distinct()
-    if seen is None:
-        recs = model.recommendForUserSubset(users, k)
-        return recs.select("user_index", best_first(F.col("recommendations")).alias("recommendations"))
-    seen = seen.select("user_index", "track_index").join(users, "user_index", "left_semi")
-    heavy = heavy_keys(seen, "user_index", max_fetch)
-    light_users, light_seen = users, seen
-    if heavy is not None:
-        light_users = users.join(heavy, "user_index", "left_anti")
-        light_seen = seen.join(heavy, "user_index", "left_anti")
-    lists = light_seen.groupBy("user_index").agg(F.collect_set("track_index").alias("_seen"))
-    first = max(16, k // 8)
-    n_seen = F.coalesce(F.size("_seen"), F.lit(0))
-    banded = light_users.join(lists, "user_index", "left").select(
-        "user_index",
-        F.coalesce("_seen", empty_ints()).alias("_seen"),
-        F.ceil(F.log(4.0, F.greatest(n_seen / first, F.lit(1.0)))).cast("int").alias("_band"),
+    wanted = users.select(F.col("user_index").alias("id")).distinct()
+    rows = user_factors(model).join(wanted, "id", "left_semi")
+    taken = None
+    if seen is not None:
+        taken = seen.select(F.col("user_index").alias("id"), F.col("track_index").alias("other"))
+        taken = taken.join(wanted, "id", "left_semi")
+    best = top_matches(rows, item_factors(model), k, taken, block_rows)
+    return best.select(
+        F.col("id").alias("user_index"),
+        F.col("matches").cast("array<struct<track_index:int,rating:float>>").alias("recommendations"),
     )
-    banded = materialize(banded, "bands")
-    # A few rows: the bands grow by powers of 4 up to max_fetch.
-    bands = banded.groupBy("_band").agg(F.max(F.size("_seen")).alias("longest")).orderBy("_band").collect()
-    parts = [
-        model.recommendForUserSubset(
-            banded.where(F.col("_band") == band["_band"]).select("user_index"), k + band["longest"]
-        )
-        for band in bands
-    ]
-    out = []
-    if parts:
-        # Sorted below the join: above it, both lists are plain columns.
-        ranked = reduce(DataFrame.union, parts).select(
-            "user_index", best_first(F.col("recommendations")).alias("_ranked")
-        )
-        fetched = ranked.join(banded.drop("_band"), "user_index")
-        unseen = without_seen(F.col("_ranked"), F.col("_seen"), k)
-        out.append(fetched.select("user_index", unseen.alias("recommendations")))
-    if heavy is not None:
-        heavy_users = users.join(heavy, "user_index", "left_semi").join(
-            user_factors(model).select(F.col("id").alias("user_index")), "user_index", "left_semi"
-        )
-        left = unseen_pairs(heavy_users, catalogue(model), seen.join(heavy, "user_index", "left_semi"))
-        best = collect_best(score_pairs(model, left).withColumnRenamed("prediction", "rating"), k)
-        out.append(
-            heavy_users.join(best, "user_index", "left").withColumn(
-                "recommendations",
-                F.coalesce("recommendations", F.array().cast(best.schema["recommendations"].dataType)),
-            )
-        )
-    return reduce(DataFrame.unionByName, out)
-
-
-def recommend_items(model: ALSModel, tracks: DataFrame, k: int) -> DataFrame:
+
+
+def recommend_items(model: ALSModel, tracks: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(track_index, recommendations): top ``k`` users of each track."""
-    recs = model.recommendForItemSubset(tracks.select("track_index").distinct(), k)
-    keyed = F.sort_array(
-        F.transform("recommendations", lambda r: F.struct((-r["rating"]).alias("low"), r["user_index"].alias("user_index")))
-    )
-    ranked = F.transform(
-        keyed, lambda r: F.struct(r["user_index"].alias("user_index"), (-r["low"]).alias("rating"))
+    wanted = tracks.select(F.col("track_index").alias("id")).distinct()
+    rows = item_factors(model).join(wanted, "id", "left_semi")
+    best = top_matches(rows, user_factors(model), k, block_rows=block_rows)
+    return best.select(
+        F.col("id").alias("track_index"),
+        F.col("matches").cast("array<struct<user_index:int,rating:float>>").alias("recommendations"),
     )
-    return recs.select("track_index", ranked.alias("recommendations"))
 
 
 def score_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
@@ -156,10 +111,6 @@ def item_factors(model: ALSModel) -> DataFrame:
     return model.itemFactors
 
 
-def catalogue(model: ALSModel) -> DataFrame:
-    return item_factors(model).select(F.col("id").alias("track_index"))
-
-
 def dot(left: str, right: str) -> F.Column:
     """Scalar product of two float arrays of the same length, in double."""
     products = F.zip_with(left, right, lambda x, y: x.cast("double") * y.cast("double"))
