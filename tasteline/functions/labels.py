@@ -32,11 +32,14 @@ MAP_TAGS = [
 ]
 
 
-def line_field(line: Column, place: int) -> Column:
-    """Value of the ``place``-th (from 0) ``key:value`` part of a log line."""
-    plain = F.translate(line, " ", "")
-    part = F.split_part(plain, F.lit(","), F.lit(place + 1))
-    return F.split_part(part, F.lit(":"), F.lit(2))
+def line_parts(line: Column) -> Column:
+    """The ``key:value`` parts of a log line, blanks taken out."""
+    return F.split(F.translate(line, " ", ""), ",")
+
+
+def part_value(parts: Column, place: int) -> Column:
+    """Value of the ``place``-th part, counted from 0."""
+    return F.split_part(parts[place], F.lit(":"), F.lit(2))
 
 
 def log_name(path: Column) -> Column:

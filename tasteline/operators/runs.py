@@ -11,7 +11,8 @@ from tasteline.functions.labels import (
     BIAS_FIELDS,
     BIAS_FLAGS,
     BIAS_PREFIX,
-    line_field,
+    line_parts,
+    part_value,
     series_label,
 )
 from tasteline.operators.skew import top_k
@@ -24,10 +25,11 @@ def keep_records(lines: DataFrame, prefix: str) -> DataFrame:
 
 def _parse(lines: DataFrame, prefix: str, fields: list[str], flags: list[str]) -> DataFrame:
     columns = [
-        line_field(F.col("value"), i).cast("boolean" if name in flags else "double").alias(name)
+        part_value(F.col("_parts"), i).cast("boolean" if name in flags else "double").alias(name)
         for i, name in enumerate(fields)
     ]
-    return keep_records(lines, prefix).select(series_label(F.col("log")).alias("series"), *columns)
+    parts = keep_records(lines, prefix).withColumn("_parts", line_parts(F.col("value")))
+    return parts.select(series_label(F.col("log")).alias("series"), *columns)
 
 
 def parse_als_runs(lines: DataFrame) -> DataFrame:

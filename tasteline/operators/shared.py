@@ -27,13 +27,16 @@ def recommend_shared(
     are shuffled, never a (user, track) candidate. Users with more than
     ``headroom`` seen tracks are served from the whole catalogue.
     """
-    users = users.select("user_index").distinct()
+    # A user's rows are few, but each grows to k entries: the number of tasks is
+    # fixed first, since it must not follow from the small input.
+    tasks = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    users = users.select("user_index").repartition(tasks, "user_index").distinct()
     if seen is None:
-        return _light(scores, users, k, runs, None, k)
+        return _light(scores, users, k, runs, None, k, tasks)
     seen = seen.select("user_index", "track_index")
     heavy = heavy_keys(seen, "user_index", headroom)
     if heavy is None:
-        return _light(scores, users, k, runs, seen, k + headroom)
+        return _light(scores, users, k, runs, seen, k + headroom, tasks)
     light = _light(
         scores,
         users.join(heavy, "user_index", "left_anti"),
@@ -41,6 +44,7 @@ def recommend_shared(
         runs,
         seen.join(heavy, "user_index", "left_anti"),
         k + headroom,
+        tasks,
     )
     heavy_users = users.join(heavy, "user_index", "left_semi")
     left = unseen_pairs(
@@ -61,7 +65,7 @@ def _with_runs(users: DataFrame, runs: list[int]) -> DataFrame:
 
 
 def _light(
-    scores: DataFrame, users: DataFrame, k: int, runs: list[int], seen: DataFrame | None, length: int
+    scores: DataFrame, users: DataFrame, k: int, runs: list[int], seen: DataFrame | None, length: int, tasks: int
 ) -> DataFrame:
     scores = scores.select("run_no", "track_index", "rating")
     # At most len(runs) * length rows.
@@ -76,14 +80,8 @@ def _light(
         rows = rows.unionByName(
             known.join(users, "user_index", "left_semi").select("user_index", "run_no", "pos")
         )
-    # A user's rows are few, but each grows to k entries: the number of tasks is
-    # fixed here, since it must not follow from the small input.
-    tasks = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    taken = (
-        rows.repartition(tasks, "user_index")
-        .groupBy("run_no", "user_index")
-        .agg(F.collect_set("pos").alias("_taken"))
-    )
+        rows = rows.repartition(tasks, "user_index")
+    taken = rows.groupBy("run_no", "user_index").agg(F.collect_set("pos").alias("_taken"))
     places = F.sequence(F.lit(1), F.least(F.size("_tracks"), F.lit(k) + F.size("_taken")))
     left = F.slice(F.array_except(F.when(F.size("_tracks") > 0, places), F.col("_taken")), 1, k)
     return taken.join(F.broadcast(common), "run_no").select(

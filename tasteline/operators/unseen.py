@@ -34,8 +34,13 @@ def collect_best(scored: DataFrame, k: int, by: tuple[str, ...] = ()) -> DataFra
 
 
 def flat_lists(recs: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """One row per recommended track, ``pos`` counted from 1."""
-    return recs.select(*by, "user_index", F.posexplode("recommendations").alias("_i", "_r")).select(
+    """One row per recommended track, ``pos`` counted from 1.
+
+    The outer form keeps the optimizer from adding a filter on the list's size,
+    for which it would build every list twice.
+    """
+    flat = recs.select(*by, "user_index", F.posexplode_outer("recommendations").alias("_i", "_r"))
+    return flat.where(F.col("_i").isNotNull()).select(
         *by,
         "user_index",
         (F.col("_i") + 1).alias("pos"),

@@ -331,7 +331,8 @@ def als_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best users of every validation track."""
     tracks = joins.distinct_ids(_encoded(spark, sf_dir).validation, "track_index")
     recs = als.recommend_items(_model(spark, sf_dir), tracks, 10)
-    return recs.select("track_index", F.posexplode("recommendations").alias("_i", "_r")).select(
+    flat = recs.select("track_index", F.posexplode_outer("recommendations").alias("_i", "_r"))
+    return flat.where(F.col("_i").isNotNull()).select(
         "track_index", (F.col("_i") + 1).alias("pos"), "_r.user_index", "_r.rating"
     )
 
