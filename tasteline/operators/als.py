@@ -74,7 +74,7 @@ def recommend(
     leave out seen tracks; equal ratings come by rising track. Users without
     factors drop out.
     """
-    wanted = users.select(F.col("user_index").alias("id")).distinct()
+    wanted = users.select(F.col("user_index").alias("id"))
     rows = user_factors(model).join(wanted, "id", "left_semi")
     taken = None
     if seen is not None:
@@ -89,7 +89,7 @@ def recommend(
 
 def recommend_items(model: ALSModel, tracks: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(track_index, recommendations): top ``k`` users of each track."""
-    wanted = tracks.select(F.col("track_index").alias("id")).distinct()
+    wanted = tracks.select(F.col("track_index").alias("id"))
     rows = item_factors(model).join(wanted, "id", "left_semi")
     best = top_matches(rows, user_factors(model), k, block_rows=block_rows)
     return best.select(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasteline.operators.shared import HEADROOM, recommend_shared
+from tasteline.session import materialize
 
 
 class BiasPoint(NamedTuple):
@@ -56,7 +57,9 @@ def fit_bias(train: DataFrame, *points: BiasPoint) -> BiasModel:
 
     mu is the mean count, an item's term (sum - n * mu) / (n + damping), a
     user's term the same on what mu and the items leave over. Sums of counts are
-    whole numbers, so item terms do not depend on the order of the rows.
+    whole numbers, so item terms do not depend on the order of the rows. The
+    terms are written out: they are read several times, their size is then known
+    to the planner, and a track with very many rows can be split in a join.
     """
     points = points or (BiasPoint(),)
     mean = train.agg((F.sum("count") / F.count("*")).alias("mu"))
@@ -71,6 +74,7 @@ def fit_bias(train: DataFrame, *points: BiasPoint) -> BiasModel:
             F.when(F.col("items"), surplus).otherwise(F.lit(0.0)).alias("item_bias"),
         )
     )
+    items = materialize(items, "bias-items")
     users = None
     if any(p.users for p in points):
         with_users = [i for i, p in enumerate(points) if p.users]
@@ -85,6 +89,7 @@ def fit_bias(train: DataFrame, *points: BiasPoint) -> BiasModel:
             .withColumn("_mu", mean.scalar())
             .select("run_no", "user_index", (rest / (F.col("_n") + damping)).alias("user_bias"))
         )
+        users = materialize(users, "bias-users")
     return BiasModel(points, mean, items, users)
 
 
@@ -141,8 +146,9 @@ def recommend_popular(
     headroom: int = HEADROOM,
 ) -> DataFrame:
     """(user_index, recommendations): the most popular tracks, ties by rising track."""
+    # exploded, not a constant: the run stays a join key.
     scores = popularity(train).select(
-        F.lit(0).alias("run_no"), "track_index", F.col(by).cast("double").alias("rating")
+        F.explode(F.lit([0])).alias("run_no"), "track_index", F.col(by).cast("double").alias("rating")
     )
     seen = train if exclude_seen else None
     return recommend_shared(scores, users, k, [0], seen, headroom).drop("run_no")

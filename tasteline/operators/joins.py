@@ -1,10 +1,18 @@
-"""Keyed restrictions and set operations on interaction frames."""
+"""Keyed restrictions and set operations on interaction frames.
+
+A hot user is split at run time (adaptive skew join) only if both join sides are
+plain shuffles. So the user side is never a distinct computed in the same plan:
+it is either not made distinct, or written out first. A written table also has a
+known size, by which the planner may choose to broadcast it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tasteline.session import materialize
+
 
 def distinct_ids(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
@@ -24,8 +32,8 @@ def restrict_users(rows: DataFrame, users: DataFrame, key: str = "user_id") -> D
 
 
 def rows_of_users(rows: DataFrame, users: DataFrame, columns: list[str], key: str = "user_id") -> DataFrame:
-    """Same restriction as an inner join with the distinct users, then a projection."""
-    return rows.join(distinct_ids(users, key), key).select(*columns)
+    """The rows an inner join with the distinct users keeps, then a projection."""
+    return restrict_users(rows, users, key).select(*columns)
 
 
 def rows_not_of_users(rows: DataFrame, users: DataFrame, columns: list[str], key: str = "user_id") -> DataFrame:
@@ -40,5 +48,5 @@ def rows_except(rows: DataFrame, removed: DataFrame) -> DataFrame:
 
 def flag_users(rows: DataFrame, users: DataFrame, flag: str, key: str = "user_id") -> DataFrame:
     """All rows, with a boolean telling whether the user occurs in ``users``."""
-    marked = distinct_ids(users, key).withColumn(flag, F.lit(True))
+    marked = materialize(distinct_ids(users, key), "users").withColumn(flag, F.lit(True))
     return rows.join(marked, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

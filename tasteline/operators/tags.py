@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tasteline.functions.keys import hash_bucket
 from tasteline.functions.labels import MAP_TAGS, ordered_tag
 from tasteline.operators.sampling import DEFAULT_SEED, sample_n
+from tasteline.session import materialize
 
 N_MAP_TRACKS = 4000
 
@@ -26,8 +27,13 @@ def one_tag_per_artist(tags: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
 
 
 def tracks_with_tag(tracks: DataFrame, tags: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
-    tagged = one_row_per_track(tracks).join(one_tag_per_artist(tags, seed), "artist_id")
-    return tagged.select("track_id", "mbtag")
+    """(track_id, mbtag) of the tracks whose artist has a tag.
+
+    The artists' tags are written first: an artist with very many tracks can then
+    be split in the join, and a small table is broadcast by its known size.
+    """
+    chosen = materialize(one_tag_per_artist(tags, seed), "artist-tags")
+    return one_row_per_track(tracks).join(chosen, "artist_id").select("track_id", "mbtag")
 
 
 def encode_tags(track_codes: DataFrame, tagged: DataFrame) -> DataFrame:

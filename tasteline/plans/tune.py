@@ -134,11 +134,8 @@ def timed_bias_runs(
     """
     start = time.monotonic()
     model = fit_bias(train, *points)
-    items = materialize(model.items, "bias")
     fitted = time.monotonic()
-    recs = materialize(
-        recommend_bias(type(model)(model.points, model.mean, items, model.users), users, k, seen=train), "lists"
-    )
+    recs = materialize(recommend_bias(model, users, k, seen=train), "lists")
     recommended = time.monotonic()
     scores = materialize(precision_list(recs, truth, by=("run_no",)), "scores")
     done = time.monotonic()
