@@ -32,14 +32,14 @@ MAP_TAGS = [
 ]
 
 
-def line_parts(line: Column) -> Column:
-    """The ``key:value`` parts of a log line, blanks taken out."""
-    return F.split(F.translate(line, " ", ""), ",")
-
-
-def part_value(parts: Column, place: int) -> Column:
-    """Value of the ``place``-th part, counted from 0."""
-    return F.split_part(parts[place], F.lit(":"), F.lit(2))
+def line_values(line: Column, fields: list[str], flags: list[str]) -> Column:
+    """Values of the ``key:value`` parts of a log line, in order, as a struct.
+
+    A line whose parts are too few or of the wrong type fails the job.
+    """
+    kinds = ", ".join(f"{name} {'boolean' if name in flags else 'double'}" for name in fields)
+    values = F.regexp_replace(F.translate(line, " ", ""), "[^,:]*:", "")
+    return F.from_csv(values, kinds, {"mode": "FAILFAST"})
 
 
 def log_name(path: Column) -> Column:

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tasteline.operators.shared import HEADROOM, recommend_shared
+from tasteline.operators.shared import HEADROOM, recommend_shared, shared_hits
 from tasteline.session import materialize
 
 
@@ -132,6 +132,19 @@ def recommend_bias(
     return recs.select("run_no", "user_index", shifted.alias("recommendations"))
 
 
+def bias_hits(
+    model: BiasModel,
+    users: DataFrame,
+    truth: DataFrame,
+    k: int,
+    seen: DataFrame,
+    headroom: int = HEADROOM,
+) -> DataFrame:
+    """Hits of the lists of ``recommend_bias`` without seen tracks, per run and user."""
+    scores = model.items.withColumnRenamed("item_bias", "rating")
+    return shared_hits(scores, users, truth, k, model.runs, seen, headroom)
+
+
 def popularity(train: DataFrame) -> DataFrame:
     """(track_index, n_users, n_plays)."""
     return train.groupBy("track_index").agg(F.count("*").alias("n_users"), F.sum("count").alias("n_plays"))

@@ -11,8 +11,7 @@ from tasteline.functions.labels import (
     BIAS_FIELDS,
     BIAS_FLAGS,
     BIAS_PREFIX,
-    line_parts,
-    part_value,
+    line_values,
     series_label,
 )
 from tasteline.operators.skew import top_k
@@ -24,12 +23,9 @@ def keep_records(lines: DataFrame, prefix: str) -> DataFrame:
 
 
 def _parse(lines: DataFrame, prefix: str, fields: list[str], flags: list[str]) -> DataFrame:
-    columns = [
-        part_value(F.col("_parts"), i).cast("boolean" if name in flags else "double").alias(name)
-        for i, name in enumerate(fields)
-    ]
-    parts = keep_records(lines, prefix).withColumn("_parts", line_parts(F.col("value")))
-    return parts.select(series_label(F.col("log")).alias("series"), *columns)
+    values = line_values(F.col("value"), fields, flags)
+    labelled = keep_records(lines, prefix).select(series_label(F.col("log")).alias("series"), values.alias("_v"))
+    return labelled.select("series", "_v.*")
 
 
 def parse_als_runs(lines: DataFrame) -> DataFrame:

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tasteline.operators.metrics import pair_lists, user_hits
 from tasteline.operators.skew import heavy_keys, top_k
 from tasteline.operators.unseen import collect_best, unseen_pairs
 
 HEADROOM = 4096
+_SCORES = ["run_no", "track_index", "rating"]
 
 
 def recommend_shared(
@@ -27,64 +29,20 @@ def recommend_shared(
     are shuffled, never a (user, track) candidate. Users with more than
     ``headroom`` seen tracks are served from the whole catalogue.
     """
-    # A user's rows are few, but each grows to k entries: the number of tasks is
-    # fixed first, since it must not follow from the small input.
-    tasks = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    users = users.select("user_index").repartition(tasks, "user_index").distinct()
-    if seen is None:
-        return _light(scores, users, k, runs, None, k, tasks)
-    seen = seen.select("user_index", "track_index")
-    heavy = heavy_keys(seen, "user_index", headroom)
-    if heavy is None:
-        return _light(scores, users, k, runs, seen, k + headroom, tasks)
-    light = _light(
-        scores,
-        users.join(heavy, "user_index", "left_anti"),
-        k,
-        runs,
-        seen.join(heavy, "user_index", "left_anti"),
-        k + headroom,
-        tasks,
-    )
-    heavy_users = users.join(heavy, "user_index", "left_semi")
-    left = unseen_pairs(
-        heavy_users, scores.select("track_index").distinct(), seen.join(heavy, "user_index", "left_semi")
-    )
-    # Users who have seen everything keep their empty list.
-    wanted = _with_runs(heavy_users, runs)
-    best = collect_best(left.join(scores, "track_index"), k, ("run_no",))
-    deep = wanted.join(best, ["run_no", "user_index"], "left").withColumn(
-        "recommendations",
-        F.coalesce("recommendations", F.array().cast(best.schema["recommendations"].dataType)),
-    )
-    return light.unionByName(deep)
-
-
-def _with_runs(users: DataFrame, runs: list[int]) -> DataFrame:
-    return users.withColumn("run_no", F.explode(F.lit(runs)))
-
-
-def _light(
-    scores: DataFrame, users: DataFrame, k: int, runs: list[int], seen: DataFrame | None, length: int, tasks: int
-) -> DataFrame:
-    scores = scores.select("run_no", "track_index", "rating")
-    # At most len(runs) * length rows.
-    head = top_k(scores, ["run_no"], [F.desc("rating"), F.asc("track_index")], length)
+    users = _spread(users)
+    light, light_seen, heavy, heavy_seen = _by_seen(users, seen, headroom)
+    head = _head(scores, k if seen is None else k + headroom)
     entries = F.sort_array(F.collect_list(F.struct("pos", "track_index", "rating")))
     common = head.groupBy("run_no").agg(entries.alias("_e")).select(
         "run_no", F.col("_e.track_index").alias("_tracks"), F.col("_e.rating").alias("_ratings")
     )
-    rows = _with_runs(users, runs).withColumn("pos", F.lit(None).cast("int"))
+    rows = _wanted(light, runs)
     if seen is not None:
-        known = seen.join(F.broadcast(head.select("run_no", "track_index", "pos")), "track_index")
-        rows = rows.unionByName(
-            known.join(users, "user_index", "left_semi").select("user_index", "run_no", "pos")
-        )
-        rows = rows.repartition(tasks, "user_index")
+        rows = _repartitioned(rows.unionByName(_places(light_seen, light, head)))
     taken = rows.groupBy("run_no", "user_index").agg(F.collect_set("pos").alias("_taken"))
     places = F.sequence(F.lit(1), F.least(F.size("_tracks"), F.lit(k) + F.size("_taken")))
     left = F.slice(F.array_except(F.when(F.size("_tracks") > 0, places), F.col("_taken")), 1, k)
-    return taken.join(F.broadcast(common), "run_no").select(
+    lists = taken.join(F.broadcast(common), "run_no").select(
         "run_no",
         "user_index",
         F.transform(
@@ -94,3 +52,125 @@ def _light(
             ),
         ).alias("recommendations"),
     )
+    if heavy is None:
+        return lists
+    return lists.unionByName(_from_catalogue(scores, heavy, k, runs, heavy_seen))
+
+
+def shared_hits(
+    scores: DataFrame,
+    users: DataFrame,
+    truth: DataFrame,
+    k: int,
+    runs: list[int],
+    seen: DataFrame,
+    headroom: int = HEADROOM,
+) -> DataFrame:
+    """(run_no, user_index, hits, n_truth, n_predicted) of the lists of ``recommend_shared``.
+
+    The lists need not be built for that: a truth track's place in a user's list
+    is its place in the common list less the number of seen tracks before it. So
+    a search over many runs moves seen and truth places only, not k entries per
+    user and run.
+    """
+    users = _spread(users)
+    light, light_seen, heavy, heavy_seen = _by_seen(users, seen, headroom)
+    head = _head(scores, k + headroom)
+    sizes = truth.groupBy("user_index").agg(F.sum(F.size(F.array_distinct("tracks"))).alias("n_truth"))
+    true_rows = truth.select("user_index", F.explode("tracks").alias("track_index"))
+    none = F.lit(None).cast("int")
+    rows = (
+        _wanted(light, runs)
+        .unionByName(_places(light_seen, light, head))
+        .withColumn("_true", none)
+        .unionByName(
+            _places(true_rows, light, head).select(
+                "user_index", "run_no", none.alias("pos"), F.col("pos").alias("_true")
+            )
+        )
+    )
+    lengths = head.groupBy("run_no").agg(F.count("*").alias("_length"))
+    marked = (
+        _repartitioned(rows)
+        .groupBy("run_no", "user_index")
+        .agg(F.collect_set("pos").alias("_taken"), F.collect_set("_true").alias("_true"))
+        .join(F.broadcast(lengths), "run_no")
+    )
+    place = F.transform(
+        F.array_except("_true", "_taken"),
+        lambda p: (p - F.size(F.filter("_taken", lambda t: t < p))).cast("int"),
+    )
+    hits = marked.select(
+        "run_no",
+        "user_index",
+        F.sort_array(F.filter(place, lambda p: p <= k)).alias("hits"),
+        F.least(F.lit(k), F.col("_length") - F.size("_taken")).cast("int").alias("n_predicted"),
+    ).join(sizes, "user_index")
+    columns = ["run_no", "user_index", "hits", "n_truth", "n_predicted"]
+    if heavy is None:
+        return hits.select(*columns)
+    lists = _from_catalogue(scores, heavy, k, runs, heavy_seen)
+    deep = user_hits(pair_lists(lists, truth, ("run_no",)), ("run_no",))
+    return hits.select(*columns).unionByName(deep.select(*columns))
+
+
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _spread(users: DataFrame) -> DataFrame:
+    """Distinct users in a fixed number of partitions.
+
+    A user's rows are few, but each grows to k entries: the number of tasks must
+    not follow from the small input.
+    """
+    return users.select("user_index").repartition(_tasks(users), "user_index").distinct()
+
+
+def _repartitioned(rows: DataFrame) -> DataFrame:
+    return rows.repartition(_tasks(rows), "user_index")
+
+
+def _by_seen(users: DataFrame, seen: DataFrame | None, headroom: int) -> tuple:
+    """Users with at most ``headroom`` seen tracks and the others, or None for these."""
+    if seen is None:
+        return users, None, None, None
+    seen = seen.select("user_index", "track_index")
+    heavy = heavy_keys(seen, "user_index", headroom)
+    if heavy is None:
+        return users, seen, None, None
+    return (
+        users.join(heavy, "user_index", "left_anti"),
+        seen.join(heavy, "user_index", "left_anti"),
+        users.join(heavy, "user_index", "left_semi"),
+        seen.join(heavy, "user_index", "left_semi"),
+    )
+
+
+def _head(scores: DataFrame, length: int) -> DataFrame:
+    """The first ``length`` tracks of each run with their place."""
+    return top_k(scores.select(*_SCORES), ["run_no"], [F.desc("rating"), F.asc("track_index")], length)
+
+
+def _wanted(users: DataFrame, runs: list[int]) -> DataFrame:
+    return users.select("user_index", F.explode(F.lit(runs)).alias("run_no"), F.lit(None).cast("int").alias("pos"))
+
+
+def _places(rows: DataFrame, users: DataFrame, head: DataFrame) -> DataFrame:
+    """(user_index, run_no, pos) of the users' rows found in the head of a run.
+
+    The head has a size fixed by the arguments, so it can be broadcast.
+    """
+    found = rows.join(F.broadcast(head.select("run_no", "track_index", "pos")), "track_index")
+    return found.join(users, "user_index", "left_semi").select("user_index", "run_no", "pos")
+
+
+def _from_catalogue(scores: DataFrame, users: DataFrame, k: int, runs: list[int], seen: DataFrame) -> DataFrame:
+    """Lists of users with very many seen tracks, who may also have none left."""
+    left = unseen_pairs(users, scores.select("track_index").distinct(), seen)
+    best = collect_best(left.join(scores.select(*_SCORES), "track_index"), k, ("run_no",))
+    nothing = F.array().cast(best.schema["recommendations"].dataType)
+    wanted = _wanted(users, runs).drop("pos")
+    return wanted.join(best, ["run_no", "user_index"], "left").withColumn(
+        "recommendations", F.coalesce("recommendations", nothing)
+    )

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteline.operators.als import AlsParams, fit_als, recommend
-from tasteline.operators.bias import BiasPoint, fit_bias, recommend_bias
-from tasteline.operators.metrics import precision_at, precision_list, ranking_metrics
+from tasteline.operators.bias import BiasPoint, bias_hits, fit_bias
+from tasteline.operators.metrics import mean_metrics, precision_at, precision_list, ranking_metrics, user_metrics
 from tasteline.session import materialize
 from tasteline.sources.models import save_model
 from tasteline.sources.runlog import append_run
@@ -109,17 +109,19 @@ def tune_bias(
     """(run_no, items, users, damping, Metric), the list precision of each point.
 
     All points share one pass over train for the sums and one for the seen
-    tracks.
+    tracks; lists are not built.
     """
-    model = fit_bias(train, *points)
-    recs = recommend_bias(model, users, k, seen=train)
-    scores = precision_list(recs, truth, by=("run_no",))
+    return _bias_scores(bias_hits(fit_bias(train, *points), users, truth, k, train), points)
+
+
+def _bias_scores(hits: DataFrame, points: list[BiasPoint]) -> DataFrame:
+    scores = mean_metrics(user_metrics(hits, 1, ("run_no",)), ("run_no",), ("precision_list",))
+    at = F.col("run_no") + 1
     return scores.select(
         "run_no",
-        *[
-            F.element_at(F.lit([t(getattr(p, name)) for p in points]), F.col("run_no") + 1).alias(name)
-            for name, t in (("items", bool), ("users", bool), ("damping", float))
-        ],
+        F.element_at(F.lit([bool(p.items) for p in points]), at).alias("items"),
+        F.element_at(F.lit([bool(p.users) for p in points]), at).alias("users"),
+        F.element_at(F.lit([float(p.damping) for p in points]), at).alias("damping"),
         F.col("precision_list").alias("Metric"),
     )
 
@@ -130,22 +132,17 @@ def timed_bias_runs(
     """The records of ``tune_bias`` with elapsed seconds per stage.
 
     The points are worked off together, so each stage's seconds are the same in
-    all records.
+    all records; ``rec`` covers the places of the hits, ``evl`` the metric alone.
     """
     start = time.monotonic()
     model = fit_bias(train, *points)
     fitted = time.monotonic()
-    recs = materialize(recommend_bias(model, users, k, seen=train), "lists")
+    hits = materialize(bias_hits(model, users, truth, k, train), "hits")
     recommended = time.monotonic()
-    scores = materialize(precision_list(recs, truth, by=("run_no",)), "scores")
+    scores = materialize(_bias_scores(hits, points), "scores")
     done = time.monotonic()
-    at = F.col("run_no") + 1
     return scores.select(
-        "run_no",
-        F.element_at(F.lit([bool(p.items) for p in points]), at).alias("items"),
-        F.element_at(F.lit([bool(p.users) for p in points]), at).alias("users"),
-        F.element_at(F.lit([float(p.damping) for p in points]), at).alias("damping"),
-        F.col("precision_list").alias("Metric"),
+        "*",
         F.lit(done - start).alias("Time_TTL"),
         F.lit(fitted - start).alias("Time_fit"),
         F.lit(recommended - fitted).alias("Time_rec"),

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tasteline.operators import als, bias, shared, skew, unseen
+from tasteline.operators import als, bias, metrics, shared, skew, unseen
 from tasteline.operators.blocks import top_matches
 from tasteline.plans import catalog
 
@@ -65,6 +65,24 @@ def test_bias_lists_without_seen(spark, plays, k, headroom):
                 assert rating == pytest.approx(mu + terms[track] + term)
 
 
+@pytest.mark.parametrize("headroom", [4096, 20])
+@pytest.mark.parametrize("k", [1, 7, 200])
+def test_hits_without_lists(spark, plays, k, headroom):
+    """Same hits as those counted in the lists, also for hot users and long truth lists."""
+    df, _ = plays
+    rng = random.Random(2)
+    tracks = [(u, n, rng.sample(range(80), rng.choice([1, 5, 40]))) for u in range(3, 45) for n in range(1)]
+    tracks += [(0, 0, [1, 2, 3]), (1, 0, [58, 59, 4]), (1, 1, [5, 79])]
+    truth_df = spark.createDataFrame(tracks, "user_index int, part long, tracks array<int>")
+    users = spark.createDataFrame([(u,) for u in range(42)], "user_index int")
+    model = bias.fit_bias(df, bias.BiasPoint(True, False, 5.0), bias.BiasPoint(False, False, 0.0))
+    recs = bias.recommend_bias(model, users, k, df)
+    listed = metrics.user_hits(metrics.pair_lists(recs, truth_df, ("run_no",)), ("run_no",))
+    columns = ["run_no", "user_index", "hits", "n_truth", "n_predicted"]
+    direct = bias.bias_hits(model, users, truth_df, k, df, headroom)
+    assert sorted(map(str, direct.select(*columns).collect())) == sorted(map(str, listed.select(*columns).collect()))
+
+
 def test_bias_lists_with_seen(spark, plays):
     df, flat = plays
     users = spark.createDataFrame([(0,), (5,)], "user_index int")

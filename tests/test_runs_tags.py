@@ -76,9 +76,11 @@ def test_records_as_text_and_back(spark):
 
 
 def test_broken_record_fails(spark):
-    lines = spark.createDataFrame([("stats_1_0", "With Rank:ten, Reg:1")], "log string, value string")
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        runs.parse_als_runs(lines).collect()
+    whole = "With Rank:{}, Reg:1, Alpha:1, Maxiter:5, Metric: 0.5, time TTL: 1, fit: 1, rec: 1, evl: 1"
+    for line in (whole.format("ten"), "With Rank:10, Reg:1"):
+        lines = spark.createDataFrame([("stats_1_0", line)], "log string, value string")
+        with pytest.raises(Exception, match="MALFORMED_RECORD"):
+            runs.parse_als_runs(lines).collect()
 
 
 @pytest.fixture(scope="module")
