@@ -2,41 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasteline.operators.joins import id_universe
-from tasteline.session import materialize
+from tasteline.operators.numbering import number_rows
 from tasteline.sources.tables import Splits
 
-# monotonically_increasing_id keeps the row number in its low 33 bits.
-_ROW_BITS = 33
-
-
 def fit_codes(ids: DataFrame, id_col: str, code_col: str, ordered: bool = True) -> DataFrame:
     """(id, code) with codes 0..n-1; ``ordered`` makes the code the rank of the id.
 
-    The ids are range-partitioned and sorted, numbered inside each partition and
-    shifted by the number of ids in the partitions before. No step sees all ids:
-    only the partition sizes come together, one row per partition. The numbers
-    inside partitions are written out before they are used twice.
+    Nulls get no code. More ids than an int holds fail the job.
     """
     keys = ids.select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    if ordered:
-        keys = keys.repartitionByRange(id_col).sortWithinPartitions(id_col)
-    slot = F.monotonically_increasing_id()
-    placed = materialize(keys.withColumn("_slot", slot), f"codes-{code_col}").select(
-        id_col,
-        F.shiftright("_slot", _ROW_BITS).alias("_part"),
-        F.col("_slot").bitwiseAND(F.lit(2**_ROW_BITS - 1)).alias("_row"),
-    )
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    # One row per partition of the write above, so the broadcast side is bounded.
-    return placed.join(F.broadcast(starts), "_part").select(
-        id_col, (F.col("_start") + F.col("_row")).cast("int").alias(code_col)
-    )
+    numbered = number_rows(keys, [F.asc(id_col)] if ordered else [], f"codes-{code_col}", code_col)
+    return numbered.withColumn(code_col, F.col(code_col).cast("int"))
 
 
 def attach_codes(df: DataFrame, codes: DataFrame, id_col: str, code_col: str, unseen: str = "error") -> DataFrame:

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasteline.operators.metrics import pair_lists, user_hits
+from tasteline.operators.numbering import number_rows
 from tasteline.operators.skew import heavy_keys, top_k
-from tasteline.operators.unseen import collect_best, unseen_pairs
+from tasteline.operators.toplists import collect_best
 
 HEADROOM = 4096
 _SCORES = ["run_no", "track_index", "rating"]
+_STEP = 1000
 
 
 def recommend_shared(
@@ -27,7 +29,7 @@ def recommend_shared(
     The first k + ``headroom`` tracks of each run, a size fixed by the arguments,
     are sent to all executors; of the seen tracks only the places in that list
     are shuffled, never a (user, track) candidate. Users with more than
-    ``headroom`` seen tracks are served from the whole catalogue.
+    ``headroom`` seen tracks are served from the whole order, see below.
     """
     users = _spread(users)
     light, light_seen, heavy, heavy_seen = _by_seen(users, seen, headroom)
@@ -54,7 +56,7 @@ def recommend_shared(
     )
     if heavy is None:
         return lists
-    return lists.unionByName(_from_catalogue(scores, heavy, k, runs, heavy_seen))
+    return lists.unionByName(_from_order(scores, heavy, k, runs, heavy_seen))
 
 
 def shared_hits(
@@ -109,7 +111,7 @@ def shared_hits(
     columns = ["run_no", "user_index", "hits", "n_truth", "n_predicted"]
     if heavy is None:
         return hits.select(*columns)
-    lists = _from_catalogue(scores, heavy, k, runs, heavy_seen)
+    lists = _from_order(scores, heavy, k, runs, heavy_seen)
     deep = user_hits(pair_lists(lists, truth, ("run_no",)), ("run_no",))
     return hits.select(*columns).unionByName(deep.select(*columns))
 
@@ -165,12 +167,40 @@ def _places(rows: DataFrame, users: DataFrame, head: DataFrame) -> DataFrame:
     return found.join(users, "user_index", "left_semi").select("user_index", "run_no", "pos")
 
 
-def _from_catalogue(scores: DataFrame, users: DataFrame, k: int, runs: list[int], seen: DataFrame) -> DataFrame:
-    """Lists of users with very many seen tracks, who may also have none left."""
-    left = unseen_pairs(users, scores.select("track_index").distinct(), seen)
-    best = collect_best(left.join(scores.select(*_SCORES), "track_index"), k, ("run_no",))
-    nothing = F.array().cast(best.schema["recommendations"].dataType)
+def _from_order(scores: DataFrame, users: DataFrame, k: int, runs: list[int], seen: DataFrame) -> DataFrame:
+    """Lists of users with very many seen tracks, who may also have none left.
+
+    All tracks of a run are numbered in order. A user with s seen tracks is
+    joined with the first k + s of them, so the candidates of all such users are
+    no more than a constant times their seen rows. They are made in steps, by
+    many tasks for one user.
+    """
+    by_score = [F.asc("run_no"), F.desc("rating"), F.asc("track_index")]
+    numbered = number_rows(scores.select(*_SCORES), by_score, "shared-order")
+    # One row per run.
+    ends = numbered.groupBy("run_no").agg(F.min("number").alias("_start"), F.count("*").alias("_n"))
+    order = numbered.join(F.broadcast(ends), "run_no").select(
+        *_SCORES, (F.col("number") - F.col("_start") + 1).alias("pos")
+    )
     wanted = _wanted(users, runs).drop("pos")
+    counts = seen.groupBy("user_index").agg(F.count("*").alias("_s"))
+    length = F.least(F.col("_n"), F.col("_s") + k)
+    steps = (
+        wanted.join(counts, "user_index")
+        .join(F.broadcast(ends), "run_no")
+        .select("user_index", "run_no", length.alias("_length"))
+        .withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_length"), F.lit(_STEP).cast("long"))))
+        .repartition(_tasks(scores), "user_index", "run_no", "_from")
+    )
+    last = F.least(F.col("_length"), F.col("_from") + _STEP - 1)
+    places = steps.select("user_index", "run_no", F.explode(F.sequence(F.col("_from"), last)).alias("pos"))
+    left = (
+        places.join(order, ["run_no", "pos"])
+        .drop("pos")
+        .join(seen, ["user_index", "track_index"], "left_anti")
+    )
+    best = collect_best(left, k, ("run_no",))
+    nothing = F.array().cast(best.schema["recommendations"].dataType)
     return wanted.join(best, ["run_no", "user_index"], "left").withColumn(
         "recommendations", F.coalesce("recommendations", nothing)
     )

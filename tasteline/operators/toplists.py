@@ -1,4 +1,4 @@
-"""What is left of the catalogue for users who have seen a large part of it."""
+"""Lists out of scored rows, and back to rows."""
 
 from __future__ import annotations
 
@@ -8,23 +8,6 @@ from pyspark.sql import functions as F
 from tasteline.functions.lists import best_first
 from tasteline.operators.skew import top_k
 
-_BLOCKS = 256
-
-
-def unseen_pairs(users: DataFrame, tracks: DataFrame, seen: DataFrame, blocks: int = _BLOCKS) -> DataFrame:
-    """(user_index, track_index) of every track a user has not seen.
-
-    Meant for the few users whose seen list is too long for an array: with more
-    than h seen tracks each there are at most rows / h of them. The catalogue is
-    cut into blocks that users are joined with, so the pairs of one user are
-    made by many tasks.
-    """
-    catalogue = tracks.select("track_index", F.pmod(F.hash("track_index"), F.lit(blocks)).alias("_block"))
-    wanted = users.select("user_index", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
-    pairs = wanted.join(catalogue, "_block").select("user_index", "track_index")
-    return pairs.join(seen.select("user_index", "track_index"), ["user_index", "track_index"], "left_anti")
-
-
 def collect_best(scored: DataFrame, k: int, by: tuple[str, ...] = ()) -> DataFrame:
     """Top ``k`` (track_index, rating) of each user as one list."""
     keys = [*by, "user_index"]

@@ -12,7 +12,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasteline.operators import als, bias, encode, joins, metrics, runs, sampling, tags, truth, unseen
+from tasteline.operators import als, bias, encode, joins, metrics, runs, sampling, tags, truth, toplists
 from tasteline.operators.als import AlsParams
 from tasteline.operators.bias import BiasPoint
 from tasteline.plans import prepare, tune
@@ -253,12 +253,12 @@ def _bias_lists(spark: SparkSession, sf_dir: str, exclude_seen: bool, point: Bia
 
 def bias_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = _bias_lists(spark, sf_dir, False, BiasPoint(True, False, DAMPING))
-    return _rounded(unseen.flat_lists(recs), "rating")
+    return _rounded(toplists.flat_lists(recs), "rating")
 
 
 def bias_topk_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = _bias_lists(spark, sf_dir, True, BiasPoint(True, True, DAMPING))
-    return _rounded(unseen.flat_lists(recs), "rating")
+    return _rounded(toplists.flat_lists(recs), "rating")
 
 
 def bias_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,7 +273,7 @@ def popularity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def popularity_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = _encoded(spark, sf_dir).train
-    return unseen.flat_lists(bias.recommend_popular(train, _users(spark, sf_dir), TOP))
+    return toplists.flat_lists(bias.recommend_popular(train, _users(spark, sf_dir), TOP))
 
 
 def ranking_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,12 +319,12 @@ def als_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def als_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unseen.flat_lists(als.recommend(_model(spark, sf_dir), _users(spark, sf_dir), TOP))
+    return toplists.flat_lists(als.recommend(_model(spark, sf_dir), _users(spark, sf_dir), TOP))
 
 
 def als_topk_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = _encoded(spark, sf_dir).train
-    return unseen.flat_lists(als.recommend(_model(spark, sf_dir), _users(spark, sf_dir), TOP, train))
+    return toplists.flat_lists(als.recommend(_model(spark, sf_dir), _users(spark, sf_dir), TOP, train))
 
 
 def als_items(spark: SparkSession, sf_dir: str) -> DataFrame:

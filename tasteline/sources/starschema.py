@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteline.functions.labels import ALS_LINE
@@ -13,8 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _padded(prefix: str, key: str):
-    return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), 8, "0"))
+def _padded(prefix: str, key: str) -> Column:
+    """Key as text of eight digits at least; longer keys stay whole."""
+    digits = F.col(key).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.length(digits), F.lit(8)), F.lit("0")))
 
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tasteline.operators import als, bias, metrics, shared, skew, unseen
+from tasteline.operators import als, bias, metrics, shared, skew, toplists
 from tasteline.operators.blocks import top_matches
+from tasteline.operators.numbering import number_rows
 from tasteline.plans import catalog
 
 
@@ -116,12 +117,26 @@ def test_predict_bias_of_unknown_ids(spark, plays):
     assert bias.predict_bias(model, pairs).first()["prediction"] == pytest.approx(mu)
 
 
-def test_unseen_pairs(spark, plays):
-    df, flat = plays
-    users = spark.createDataFrame([(0,), (1,), (2,)], "user_index int")
-    got = {tuple(r) for r in unseen.unseen_pairs(users, df.select("track_index").distinct(), df, 7).collect()}
-    have = {(u, t) for u, t, _ in flat}
-    assert got == {(u, t) for u in range(3) for t in range(60)} - have
+def test_numbers_follow_the_order(spark):
+    df = spark.range(3000).select(F.col("id"), (F.col("id") * 7919 % 3001 % 10).alias("v")).repartition(9)
+    got = number_rows(df, [F.desc("v"), F.asc("id")], "numbers").collect()
+    expected = sorted(((r["v"], r["id"]) for r in got), key=lambda r: (-r[0], r[1]))
+    assert [(r["v"], r["id"]) for r in sorted(got, key=lambda r: r["number"])] == expected
+    assert sorted(r["number"] for r in got) == list(range(3000))
+
+
+def test_hot_user_with_a_long_list(spark):
+    """More candidates than one step makes, most of them seen."""
+    scores = spark.range(5000).select(
+        F.explode(F.lit([0, 1])).alias("run_no"), F.col("id").cast("int").alias("track_index"),
+        (F.col("id") % 100).cast("double").alias("rating"),
+    )
+    seen = spark.range(4500).select(F.lit(1).alias("user_index"), F.col("id").cast("int").alias("track_index"))
+    users = spark.createDataFrame([(1,), (2,)], "user_index int")
+    got = lists(shared.recommend_shared(scores, users, 20, [0, 1], seen, headroom=10), "run_no")
+    expected = sorted(range(4500, 5000), key=lambda t: (-(t % 100), t))[:20]
+    assert [t for t, _ in got[0, 1]] == expected == [t for t, _ in got[1, 1]]
+    assert [t for t, _ in got[0, 2]] == sorted(range(5000), key=lambda t: (-(t % 100), t))[:20]
 
 
 @pytest.mark.parametrize("limit", ["1000", "2"])
@@ -198,7 +213,7 @@ def test_unseen_lists_of_a_model(spark, sf_dir):
     model = catalog._model(spark, sf_dir)
     train = catalog._encoded(spark, sf_dir).train
     recs = als.recommend(model, catalog._users(spark, sf_dir), 30, train, block_rows=64)
-    flat = unseen.flat_lists(recs)
+    flat = toplists.flat_lists(recs)
     assert flat.join(train, ["user_index", "track_index"], "left_semi").isEmpty()
     assert flat.groupBy("user_index").count().where("count != 30").isEmpty()
     scores = {(r["user_index"], r["track_index"]): r["prediction"] for r in als.score_pairs(model, flat.select("user_index", "track_index")).collect()}
