@@ -5,7 +5,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasteline.operators.blocks import BLOCK_ROWS, top_matches
@@ -111,7 +111,7 @@ def item_factors(model: ALSModel) -> DataFrame:
     return model.itemFactors
 
 
-def dot(left: str, right: str) -> F.Column:
+def dot(left: str, right: str) -> Column:
     """Scalar product of two float arrays of the same length, in double."""
     products = F.zip_with(left, right, lambda x, y: x.cast("double") * y.cast("double"))
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)

@@ -15,13 +15,19 @@ from tasteline.plans.catalog import (
 )
 from tasteline.operators.sampling import DEFAULT_SEED, MIN_EVAL_FRACTION
 
-_INTER = """
+
+def _padded(prefix: str, key: str) -> str:
+    digits = f"CAST({key} AS VARCHAR)"
+    return f"'{prefix}' || lpad({digits}, CAST(greatest(8, length({digits})) AS INTEGER), '0')"
+
+
+_INTER = f"""
 pairs AS (
   SELECT o_custkey, l_partkey, CAST(sum(l_quantity) AS INTEGER) AS "count"
   FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_custkey, l_partkey),
 inter AS (
-  SELECT 'U' || lpad(CAST(o_custkey AS VARCHAR), greatest(8, length(CAST(o_custkey AS VARCHAR))), '0') AS user_id, "count",
-         'T' || lpad(CAST(l_partkey AS VARCHAR), greatest(8, length(CAST(l_partkey AS VARCHAR))), '0') AS track_id,
+  SELECT {_padded('U', 'o_custkey')} AS user_id, "count",
+         {_padded('T', 'l_partkey')} AS track_id,
          CASE (o_custkey * 31 + l_partkey) % 10 WHEN 8 THEN 'validation' WHEN 9 THEN 'test' ELSE 'train' END AS split
   FROM pairs)"""
 
@@ -164,7 +170,7 @@ one_tag AS (
 coded AS (
   SELECT c.track_id, c.track_index, o.mbtag
   FROM tcode c
-  JOIN (SELECT 'T' || lpad(CAST(p_partkey AS VARCHAR), greatest(8, length(CAST(p_partkey AS VARCHAR))), '0') AS track_id, p_brand AS artist_id FROM part) p USING (track_id)
+  JOIN (SELECT {_padded('T', 'p_partkey')} AS track_id, p_brand AS artist_id FROM part) p USING (track_id)
   JOIN one_tag o USING (artist_id)),
 tagged AS (
   SELECT coded.*, CAST(vec_id AS INTEGER) AS id, embedding AS features

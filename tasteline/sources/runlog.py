@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tasteline.functions.labels import ALS_FIELDS, ALS_LINE, BIAS_FIELDS, BIAS_LINE, log_name
@@ -24,12 +24,12 @@ def load_runs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ALS_SCHEMA).parquet(path)
 
 
-def als_line() -> F.Column:
+def als_line() -> Column:
     """Text form of an ALS run record."""
     return F.format_string(ALS_LINE, *[F.col(c) for c in ALS_FIELDS])
 
 
-def bias_line() -> F.Column:
+def bias_line() -> Column:
     """Text form of a bias run record; flags read ``True`` / ``False``."""
     flags = [F.initcap(F.col(c).cast("string")) for c in BIAS_FIELDS[:2]]
     return F.format_string(BIAS_LINE, *flags, *[F.col(c) for c in BIAS_FIELDS[2:]])
