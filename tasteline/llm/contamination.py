@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tasteline.llm.ship import map_batches
 from tasteline.llm.spans import LOWER, Block, blocks, mix64, prefix_hash, range_hash, split_words
 
 # Fixed value: ASCII bytes outside words, which are digits, letters and all beyond ASCII.
@@ -162,6 +163,15 @@ def _search_batches(tables: list[Table], names: list[str], batches: Iterator[pa.
             )
 
 
+def _query_set(benchmark: DataFrame) -> tuple[list[Table], list[str]]:
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    rows = items.limit(MAX_PATTERNS + 1).collect()
+    if len(rows) > MAX_PATTERNS or sum(len(_windows(r["text"])) for r in rows) > MAX_PATTERNS:
+        raise ValueError(f"benchmark of more than {MAX_PATTERNS} windows; give it in parts")
+    tables = build_tables([(r["item_id"], r["text"]) for r in rows])
+    return tables, [r["item_id"] if r["item_id"] is not None else "" for r in rows]
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, n_words, n_hit, items) of every document row.
 
@@ -173,15 +183,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") ->
     Rows come out one for one, so repeated documents are repeated. An empty frame
     gives an empty one, an empty benchmark no hits. Other columns are ignored.
     """
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    rows = items.limit(MAX_PATTERNS + 1).collect()
-    if len(rows) > MAX_PATTERNS or sum(len(_windows(r["text"])) for r in rows) > MAX_PATTERNS:
-        raise ValueError(f"benchmark of more than {MAX_PATTERNS} windows; give it in parts")
-    tables = build_tables([(r["item_id"], r["text"]) for r in rows])
-    names = [r["item_id"] if r["item_id"] is not None else "" for r in rows]
+    tables, names = _query_set(benchmark)
     kind = docs.schema[key].dataType.simpleString()
     slim = docs.select(F.col(key).alias("key"), F.col("text"))
-    found = slim.mapInArrow(
+    found = map_batches(
+        slim,
         lambda batches: _search_batches(tables, names, batches),
         f"key {kind}, n_words long, n_hit long, items array<string>",
     )
@@ -204,3 +210,18 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def contaminated() -> F.Column:
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
+def _clean_batches(tables: list[Table], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = [np.zeros(0, dtype=bool)]
+        for block in blocks(batch.column("text")):
+            n, hit, _ = search(tables, block)
+            keep.append((hit == 0) | (20 * hit < n))
+        yield batch.filter(pa.array(np.concatenate(keep)))
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns, in one pass."""
+    tables, _ = _query_set(benchmark)
+    return map_batches(docs, lambda batches: _clean_batches(tables, batches), docs.schema)

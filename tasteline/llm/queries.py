@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasteline.llm import contamination, mixing, quality, sharding
+import corpus_pipeline
+from tasteline.llm import contamination, mixing, neardup, quality, sharding
 
 SHARDS = 24
 SEED = 20240917
@@ -28,18 +29,28 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"), mixing.MixSpec())
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), neardup.JoinSpec(words=3, percent=85))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contamination_report(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding,
         op2_quality_rules,
         op3_source_mix,
+        op7_near_duplicates,
         op10_decontamination,
+        pipeline,
     )
 }
