@@ -1,5 +1,7 @@
 """SQL of the queries that SQL can express, for DuckDB."""
 
+from tasteline.llm.licenses import scan_sql
+
 OP3 = """
 WITH docs AS (
     SELECT doc_id, source,
@@ -92,4 +94,4 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM lowered LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLE_SQL = {"op3_source_mix": OP3, "op10_decontamination": OP10}
+ORACLE_SQL = {"op3_source_mix": OP3, "op5_licence_scan": scan_sql(), "op10_decontamination": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tasteline.llm import contamination, mixing, neardup, quality, sharding
+from tasteline.llm import contamination, licenses, mixing, neardup, quality, sharding
 
 SHARDS = 24
 SEED = 20240917
@@ -29,6 +29,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"), mixing.MixSpec())
 
 
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_report(_table(spark, sf_dir, "documents"))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), neardup.JoinSpec(words=3, percent=85))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_sharding,
         op2_quality_rules,
         op3_source_mix,
+        op5_licence_scan,
         op7_near_duplicates,
         op10_decontamination,
         pipeline,
