@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tasteline.llm import contamination, licenses, mixing, neardup, quality, sharding
+from tasteline.llm import contamination, licenses, lm, mixing, neardup, quality, sharding, warc
 
 SHARDS = 24
 SEED = 20240917
+WARC_DATE = "2024-01-01T00:00:00Z"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,10 +34,18 @@ def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_report(_table(spark, sf_dir, "documents"))
 
 
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivative_report(_table(spark, sf_dir, "pages"), WARC_DATE)
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), neardup.JoinSpec(words=3, percent=85))
 
 
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_report(_table(spark, sf_dir, "documents"), lm.LmSpec())
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contamination_report(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -54,7 +63,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_quality_rules,
         op3_source_mix,
         op5_licence_scan,
+        op6_warc_derivatives,
         op7_near_duplicates,
+        op8_lm_scores,
         op10_decontamination,
         pipeline,
     )
