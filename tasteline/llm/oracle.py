@@ -58,6 +58,27 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM near
 """
 
+OP4 = """
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS seq
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM docs)
+), least AS (
+    SELECT seq, min(doc_id) AS first_id FROM windows GROUP BY seq
+), gone AS (
+    SELECT DISTINCT doc_id, place
+    FROM (SELECT w.doc_id, unnest(range(w.i, w.i + 13)) AS place
+          FROM windows w JOIN least l ON w.seq = l.seq WHERE l.first_id < w.doc_id)
+), removed AS (
+    SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN places IS NULL THEN w ELSE
+           list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(places, i)), lambda i: w[i]) END, ' '), '')) AS kept_sha256
+FROM docs LEFT JOIN removed USING (doc_id)
+"""
+
 OP10 = """
 WITH lowered AS (
     SELECT doc_id, regexp_extract_all(
@@ -94,4 +115,4 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM lowered LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLE_SQL = {"op3_source_mix": OP3, "op5_licence_scan": scan_sql(), "op10_decontamination": OP10}
+ORACLE_SQL = {"op3_source_mix": OP3, "op4_repeated_passages": OP4, "op5_licence_scan": scan_sql(), "op10_decontamination": OP10}

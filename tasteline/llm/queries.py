@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tasteline.llm import contamination, licenses, lm, mixing, neardup, quality, sharding, warc
+from tasteline.llm import contamination, fmindex, licenses, lm, mixing, neardup, quality, sharding, warc
 
 SHARDS = 24
 SEED = 20240917
@@ -30,6 +30,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"), mixing.MixSpec())
 
 
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fmindex.passage_report(_table(spark, sf_dir, "documents"))
+
+
 def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_report(_table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_sharding,
         op2_quality_rules,
         op3_source_mix,
+        op4_repeated_passages,
         op5_licence_scan,
         op6_warc_derivatives,
         op7_near_duplicates,
