@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tasteline.llm import contamination, fmindex, licenses, lm, mixing, neardup, quality, sharding, warc
+from tasteline.llm import contamination, fmindex, licenses, lm, mixing, neardup, quality, sharding, suffixes, warc
 
 SHARDS = 24
 SEED = 20240917
@@ -50,6 +50,10 @@ def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_report(_table(spark, sf_dir, "documents"), lm.LmSpec())
 
 
+def op9_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.string_report(_table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contamination_report(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_warc_derivatives,
         op7_near_duplicates,
         op8_lm_scores,
+        op9_repeated_strings,
         op10_decontamination,
         pipeline,
     )
