@@ -24,8 +24,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that fail the base rules or are outliers of their language and source."""
-    judged = quality.judge(quality.text_stats(docs), quality.OutlierSpec())
-    return judged.where("kept").select(*docs.columns)
+    packed = docs.select(F.struct("*").alias("document"), "text", "lang", "source")
+    judged = quality.judge(quality.text_stats(packed).drop("text"), quality.OutlierSpec())
+    return judged.where("kept").select("document.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +45,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents until the sources have their target shares."""
-    return mixing.repeated(mixing.mix(docs, mixing.MixSpec()), docs.columns)
+    packed = docs.select(F.struct("*").alias("document"), "doc_id", "text", "source")
+    mixed = mixing.mix(packed, mixing.MixSpec(), keep=["document"])
+    return mixing.repeated(mixed, ["document"]).select("document.*")
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

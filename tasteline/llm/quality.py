@@ -22,6 +22,9 @@ STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FEATURES = ("z_words", "z_length", "z_symbols", "z_lines", "z_repeats")
 P = len(FEATURES)
 
+# Groups (a line of numbers each) up to which estimates are broadcast.
+MOST_BROADCAST = 20_000
+
 
 @dataclass(frozen=True)
 class OutlierSpec:
@@ -138,14 +141,13 @@ def _grouped(rows: DataFrame, least: int) -> DataFrame:
     few = F.col("n") < least
     table = table.withColumn("n1", F.sum(F.when(few, F.col("n"))).over(pooled))
     small = few & (F.col("n1") < least)
-    # The rest of all languages: one sum, joined on a constant.
-    rest = table.where(small).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n2"))
-    table = table.crossJoin(F.broadcast(rest))
+    # The rest of all languages.
+    rest = table.where(small).agg(F.sum("n").alias("n")).first()["n"] or 0
     none = F.lit(None).cast("string")
     group = (
         F.when(~few, by)
         .when(~small, F.struct(F.col("lang"), none.alias("source"), F.lit(1).alias("level")))
-        .when(F.col("n2") >= least, F.struct(none.alias("lang"), none.alias("source"), F.lit(2).alias("level")))
+        .when(F.lit(rest >= least), F.struct(none.alias("lang"), none.alias("source"), F.lit(2).alias("level")))
     )
     keys = table.select("lang", "source", F.xxhash64(group).alias("grp"), group.isNull().alias("none"))
     keys = keys.select("lang", "source", F.when(~F.col("none"), F.col("grp")).alias("grp"))
@@ -154,6 +156,11 @@ def _grouped(rows: DataFrame, least: int) -> DataFrame:
     return rows.alias("r").join(keys.alias("k"), same, "left").select("r.*", "k.grp")
 
 
+def _joined(rows: DataFrame, table: DataFrame, groups: int) -> DataFrame:
+    """Rows with their group's line of ``table``; few groups are broadcast, others left to the planner."""
+    return rows.join(F.broadcast(table) if groups <= MOST_BROADCAST else table, "grp")
+
+
 def _medians(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Lower medians of whole-number columns per group, from counts per value."""
     entries = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns])).alias("e")
@@ -186,9 +193,9 @@ def _factor(moments: DataFrame, spec: OutlierSpec) -> DataFrame:
     return moments.select("grp", *kept)
 
 
-def _distances(rows: DataFrame, shape: DataFrame) -> DataFrame:
+def _distances(rows: DataFrame, shape: DataFrame, groups: int) -> DataFrame:
     """Squared Mahalanobis distance ``d2`` of each row under its group's estimate."""
-    out = rows.join(shape, "grp")
+    out = _joined(rows, shape, groups)
     for i in range(P):
         dot = F.col(FEATURES[i]) - F.col(f"m{i}")
         for k in range(i):
@@ -205,13 +212,13 @@ def _bin(d2: Column) -> Column:
     return F.floor(F.log(d2 + 1e-3) * _BINS_PER_LOG).cast("long")
 
 
-def _concentrate(rows: DataFrame, shape: DataFrame, spec: OutlierSpec) -> DataFrame:
+def _concentrate(rows: DataFrame, shape: DataFrame, groups: int, spec: OutlierSpec) -> DataFrame:
     """One concentration step: moments of the half of each group nearest to its estimate.
 
     Moments are summed per distance bin, so one pass finds both where the nearest
     half ends and its means and covariances; the half is rounded up to whole bins.
     """
-    near = _distances(rows, shape).withColumn("bin", _bin(F.col("d2")))
+    near = _distances(rows, shape, groups).withColumn("bin", _bin(F.col("d2")))
     sums = [F.count("*").alias("n")]
     for i in range(P):
         sums.append(F.sum(FEATURES[i]).alias(f"s{i}"))
@@ -235,11 +242,12 @@ def _concentrate(rows: DataFrame, shape: DataFrame, spec: OutlierSpec) -> DataFr
     return materialize(_factor(core.select("grp", *means, *spread), spec), "quality-shape")
 
 
-def _start(rows: DataFrame, spec: OutlierSpec) -> DataFrame:
+def _start(rows: DataFrame, groups: int, spec: OutlierSpec) -> DataFrame:
     """Medians, and squared scaled median deviations as a diagonal covariance."""
     middle = materialize(_medians(rows, list(FEATURES)), "quality-medians")
-    shifted = rows.alias("r").join(middle.alias("m"), "grp")
-    off = [F.abs(F.col(f"r.{c}") - F.col(f"m.{c}")).alias(c) for c in FEATURES]
+    named = middle.select("grp", *[F.col(c).alias(f"mid_{c}") for c in FEATURES])
+    shifted = _joined(rows, named, groups)
+    off = [F.abs(F.col(c) - F.col(f"mid_{c}")).alias(c) for c in FEATURES]
     mads = _medians(shifted.select("grp", *off), list(FEATURES))
     renamed = mads.select("grp", *[F.col(c).alias(f"d{i}") for i, c in enumerate(FEATURES)])
     both = middle.join(renamed, "grp")
@@ -264,23 +272,32 @@ def judge(stats: DataFrame, spec: OutlierSpec) -> DataFrame:
     step moves to a half of the group of lower determinant. Rows that fail the base rules take no
     part in it. ``distance`` is the squared Mahalanobis distance scaled by the
     group's median; null for rows that fail the base rules and where all groups
-    are too small. Null languages and sources are groups of their own.
+    are too small. Input columns of these names are replaced. Null languages and sources are groups of their own.
     """
-    rows = stats.withColumn("base_failed", base_failed()).withColumn("_id", F.monotonically_increasing_id())
+    out = ("base_failed", "distance", "kept")
+    rows = stats.select(
+        F.struct(*without(stats, *out)).alias("row"),
+        "lang",
+        "source",
+        *STATS,
+        base_failed().alias("base_failed"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
     rows = materialize(rows, "quality-stats")
     plain = rows.where(~F.col("base_failed")).select("_id", "lang", "source", *[c.alias(n) for n, c in _transformed().items()])
     grouped = materialize(_grouped(plain, spec.least_rows), "quality-rows")
     inside = grouped.where(F.col("grp").isNotNull()).select("_id", "grp", *FEATURES)
-    shape = _start(inside, spec)
+    groups = inside.select("grp").distinct().count()
+    shape = _start(inside, groups, spec)
     for _ in range(spec.steps):
-        shape = _concentrate(inside, shape, spec)
-    near = materialize(_distances(inside, shape), "quality-distances")
+        shape = _concentrate(inside, shape, groups, spec)
+    near = materialize(_distances(inside, shape, groups), "quality-distances")
     middle = _medians(near.select("grp", _bin(F.col("d2")).alias("bin")), ["bin"])
     scale = middle.select("grp", (F.exp((F.col("bin") + 1) / F.lit(float(_BINS_PER_LOG))) / _CHI_MEDIAN).alias("scale"))
     scale = materialize(scale, "quality-scale")
-    scaled = near.join(scale, "grp").select("_id", (F.col("d2") / F.greatest(F.col("scale"), F.lit(1.0))).alias("distance"))
+    scaled = _joined(near, scale, groups).select("_id", (F.col("d2") / F.greatest(F.col("scale"), F.lit(1.0))).alias("distance"))
     kept = ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= spec.cutoff)
-    return rows.join(scaled, "_id", "left").withColumn("kept", kept).drop("_id")
+    return rows.join(scaled, "_id", "left").select("row.*", "base_failed", "distance", kept.alias("kept"))
 
 
 def quality_report(docs: DataFrame, spec: OutlierSpec) -> DataFrame:
