@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tasteline.llm.components import components
@@ -139,6 +139,14 @@ def _confirm_batches(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterato
         )
 
 
+def _sets(docs: DataFrame, reps: DataFrame, ids: DataFrame, spec: JoinSpec) -> DataFrame:
+    """(id, items): whole shingle sets of the classes ``ids``, shingled again from their texts."""
+    asked = ids.join(reps.select("id", "fp1"), "id")
+    asked = docs.join(asked, docs["doc_id"] == asked["id"]).select("id", "fp1", "text")
+    sets = map_batches(asked, lambda b: _set_batches(spec, b), "id long, items binary")
+    return materialize(sets.dropDuplicates(["id"]), "neardup-sets")
+
+
 def _confirmed(docs: DataFrame, reps: DataFrame, pairs: DataFrame, spec: JoinSpec) -> DataFrame:
     """The pairs (a, b) whose whole shingle sets reach the threshold.
 
@@ -146,10 +154,7 @@ def _confirmed(docs: DataFrame, reps: DataFrame, pairs: DataFrame, spec: JoinSpe
     to the other's partition; a partner of very many is split by adaptive joins.
     """
     ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    ends = ends.join(reps.select("id", "fp1"), "id")
-    asked = docs.join(ends, docs["doc_id"] == ends["id"]).select("id", "fp1", "text")
-    sets = map_batches(asked, lambda b: _set_batches(spec, b), "id long, items binary")
-    sets = materialize(sets.dropDuplicates(["id"]), "neardup-sets")
+    sets = _sets(docs, reps, ends, spec)
     half = pairs.join(sets.select(F.col("id").alias("b"), F.col("items").alias("set_b")), "b")
     whole = half.join(sets.select(F.col("id").alias("a"), F.col("items").alias("set_a")), "a")
     percent = spec.percent
@@ -182,14 +187,17 @@ def _leaf_pairs(spec: JoinSpec, rows: pa.Table) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def _leaf_batches(spec: JoinSpec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare the documents of every node with each other; rows come sorted by node."""
+PairFn = Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]
+
+
+def _paired_batches(pairs_of: PairFn, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) that ``pairs_of`` finds among the rows of each key; rows come sorted by key."""
     held: pa.Table | None = None
 
     def nodes(table: pa.Table) -> Iterator[pa.RecordBatch]:
         keys = table.column("key").to_numpy()
         cuts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
-        found = [_leaf_pairs(spec, table.slice(s, e - s)) for s, e in zip(cuts[:-1], cuts[1:]) if e - s > 1]
+        found = [pairs_of(table.slice(s, e - s)) for s, e in zip(cuts[:-1], cuts[1:]) if e - s > 1]
         if found:
             a, b = (np.concatenate([f[i] for f in found]) for i in (0, 1))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
@@ -208,35 +216,159 @@ def _leaf_batches(spec: JoinSpec, batches: Iterator[pa.RecordBatch]) -> Iterator
         yield from nodes(held)
 
 
+def _paired(rows: DataFrame, pairs_of: PairFn) -> DataFrame:
+    dealt = rows.repartition("key").sortWithinPartitions("key")
+    return map_batches(dealt, lambda b: _paired_batches(pairs_of, b), "a long, b long")
+
+
+def _common_set(table: pa.Table) -> pa.Table:
+    """The shingles that more than half of a node's sample have."""
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("items")]
+    items, n = np.unique(np.concatenate(sets), return_counts=True)
+    common = items[2 * n > len(sets)].tobytes()
+    return pa.table({"key": table.column("key").slice(0, 1), "common": pa.array([common], pa.binary())})
+
+
+def _difference_batches(spec: JoinSpec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How each member of a node differs from the node's common set, and whether it is near or far.
+
+    Similarities to a third set differ by no more than 1 - s between documents of
+    similarity s. So with bounds as far apart as that, both ends of a link are
+    near, or both are far.
+    """
+    low = 0.5
+    high = low + 1 - spec.percent / 100
+    for batch in batches:
+        near, far, delta = [], [], []
+        for x, y in zip(batch.column("items"), batch.column("common")):
+            own, common = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+            apart = np.setxor1d(own, common, assume_unique=True)
+            both = (len(own) + len(common) - len(apart)) / 2
+            alike = both / (len(own) + len(common) - both)
+            near.append(alike >= low)
+            far.append(alike < high + 1e-9)
+            delta.append(apart.tobytes() if alike >= low else None)
+        yield pa.RecordBatch.from_arrays(
+            [
+                *[batch.column(c) for c in ("key", "id", "label", "n")],
+                pa.array(near, pa.bool_()), pa.array(far, pa.bool_()), pa.array(delta, pa.binary()),
+            ],
+            names=["key", "id", "label", "n", "near", "far", "delta"],
+        )
+
+
+# Members of a node compared at once with as many others, and columns of a product.
+_CHUNK = 1024
+_SLAB = 2048
+
+
+def _chunk_links(percent: int, table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Links between two chunks of a node, one for each pair of labels.
+
+    Members stand for their whole sets by the shingles in which they differ from
+    the node's common set; what two of them don't share is what their differences
+    don't share, so sizes of intersection and union are exact.
+    """
+    ids, labels, n = (table.column(c).to_numpy() for c in ("id", "label", "n"))
+    deltas = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("delta")]
+    size = np.array([len(d) for d in deltas])
+    chunk = table.column("chunk").to_numpy()
+    left, right = np.flatnonzero(chunk == chunk.min()), np.flatnonzero(chunk == chunk.max())
+    if len(np.unique(labels)) == 1:
+        return ids[:0], ids[:0]
+    owner = np.repeat(np.arange(len(ids)), size)
+    items = np.concatenate(deltas)
+    in_left, in_right = np.isin(owner, left), np.isin(owner, right)
+    shared = np.intersect1d(items[in_left], items[in_right])
+    overlap = np.zeros((len(left), len(right)), dtype=np.float32)
+    for s in range(0, len(shared), _SLAB):
+        some = shared[s : s + _SLAB]
+        sides = []
+        for rows, inside in ((left, in_left), (right, in_right)):
+            at = np.searchsorted(some, items[inside])
+            known = some[np.minimum(at, len(some) - 1)] == items[inside]
+            side = np.zeros((len(rows), len(some)), dtype=np.float32)
+            side[np.searchsorted(rows, owner[inside][known]), at[known]] = 1
+            sides.append(side)
+        overlap += sides[0] @ sides[1].T
+    apart = size[left][:, None] + size[right][None, :] - 2 * overlap.astype(np.int64)
+    whole = n[left][:, None] + n[right][None, :]
+    linked = (100 * (whole - apart) >= percent * (whole + apart)) & (labels[left][:, None] != labels[right][None, :])
+    i, j = np.nonzero(linked)
+    a, b = left[i], right[j]
+    first = np.minimum(labels[a], labels[b]), np.maximum(labels[a], labels[b])
+    _, one = np.unique(np.stack(first), axis=1, return_index=True)
+    a, b = ids[a[one]], ids[b[one]]
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _near_common(docs: DataFrame, large: DataFrame, reps: DataFrame, spec: JoinSpec) -> tuple[DataFrame, DataFrame]:
+    """Links among the members of large nodes that are near their node's common set, and far members.
+
+    Branching does not part copies with few changes: they share nearly all tokens.
+    So each such node is compared with itself in chunks, a pair of chunks a task,
+    by exact sizes; links leave the task, candidates don't. Nodes of different
+    trees with the same least member are one.
+    """
+    least = large.groupBy("key").agg(F.min("id").alias("least"))
+    merged = large.join(least, "key").select(F.col("least").alias("key"), "id", "label", "n").distinct()
+    merged = materialize(merged, "neardup-large")
+    sets = _sets(docs, reps, merged.select("id").distinct(), spec)
+    sample = Window.partitionBy("key").orderBy(F.xxhash64("id"), "id")
+    drawn = merged.select("key", "id", F.row_number().over(sample).alias("r")).where("r <= 33").join(sets, "id")
+    common = drawn.select("key", "items").groupBy("key").applyInArrow(_common_set, "key long, common binary")
+    whole = merged.join(sets, "id").join(materialize(common, "neardup-common"), "key")
+    parted = map_batches(
+        whole.select("key", "id", "label", "n", "items", "common"),
+        lambda b: _difference_batches(spec, b),
+        "key long, id long, label long, n long, near boolean, far boolean, delta binary",
+    )
+    parted = materialize(parted, "neardup-parted")
+    near = parted.where("near")
+    chunks = near.groupBy("key").agg(F.ceil(F.count("*") / F.lit(_CHUNK)).alias("chunks"))
+    cut = near.join(chunks, "key").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")
+    sides = cut.select("key", "id", "label", "n", "delta", "chunk", other)
+    key = F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("key")
+    percent = spec.percent
+    links = _paired(sides.select(key, "id", "label", "n", "delta", "chunk"), lambda t: _chunk_links(percent, t))
+    return links, parted.where("far").select(F.col("key").alias("least"), "id")
+
+
 def _mixed(rows: DataFrame) -> DataFrame:
     """Rows of nodes that hold documents of different labels, with the node's size."""
     sizes = rows.groupBy("key").agg(F.count("*").alias("held"), F.min("label").alias("lo"), F.max("label").alias("hi"))
     return rows.join(sizes.where("lo < hi").select("key", "held"), "key")
 
 
-def _open_pairs(members: DataFrame, reps: DataFrame, spec: JoinSpec) -> DataFrame:
-    """Candidate pairs between different labels, from all nodes of all trees."""
+def _open_pairs(docs: DataFrame, members: DataFrame, reps: DataFrame, spec: JoinSpec) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs between different labels from all nodes of all trees, and links found in large ones."""
     found = None
-    rows = _mixed(members)
-    rows = rows.join(reps.select("id", "n", "tokens"), "id")
+    rows = _mixed(members).join(reps.select("id", "n", "tokens"), "id")
+    rows = materialize(rows, "neardup-nodes")
+    large = rows.where(F.col("held") > spec.leaf)
+    links, far = _near_common(docs, large.select("key", "id", "label", "n"), reps, spec)
+    links = materialize(links, "neardup-links")
+    # Large nodes go on with the members far from what the node has in common.
+    least = large.groupBy("key").agg(F.min("id").alias("least"))
+    strangers = large.join(least, "key").join(far, ["least", "id"], "left_semi").select(*rows.columns)
+    rows = rows.where(F.col("held") <= spec.leaf).unionByName(strangers)
     for level in range(spec.levels + 1):
-        rows = materialize(rows, "neardup-nodes")
         small = rows.where(F.col("held") <= spec.leaf).select("key", "id", "label", "n", "tokens")
-        small = small.repartition("key").sortWithinPartitions("key")
-        pairs = map_batches(small, lambda b: _leaf_batches(spec, b), "a long, b long")
+        pairs = _paired(small, lambda t: _leaf_pairs(spec, t))
         found = pairs if found is None else found.union(pairs)
         large = rows.where(F.col("held") > spec.leaf)
         if level == spec.levels:
             # Nodes that no branching has made small: joined, with the filter inside the join.
             same = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
             rest = large.alias("x").join(large.alias("y"), same & _alike(spec, "x", "y"))
-            return found.union(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))).distinct()
+            return found.union(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))).distinct(), links
         if large.limit(1).count() == 0:
-            return found.distinct()
+            return found.distinct(), links
         at = F.col("tree") * (spec.levels * spec.branches) + spec.trees + level * spec.branches + F.col("c")
         child = large.withColumn("c", F.explode(F.array(*[F.lit(c) for c in range(spec.branches)])))
         child = child.withColumn("key", F.xxhash64("key", "c", F.get("tokens", at))).drop("c", "held")
-        rows = _mixed(child)
+        rows = materialize(_mixed(child), "neardup-nodes")
     raise AssertionError
 
 
@@ -248,8 +380,9 @@ def near_duplicates(docs: DataFrame, spec: JoinSpec) -> DataFrame:
     sequence. Equal sets form one class before anything is compared. First every
     class of a node is compared with the node's least one, whole sets deciding;
     that joins large groups of copies by as many comparisons as they have members.
-    Then all pairs that are still apart are compared inside small nodes, large
-    ones being branched. ``kept`` marks the least doc_id of each component.
+    Then all pairs that are still apart are compared inside small nodes; of large
+    ones, members near the node's common set are compared in chunks and the
+    others branched. ``kept`` marks the least doc_id of each component.
 
     Null and wordless texts have no shingles and are linked with nothing. Rows
     without doc_id are linked with nothing and kept, their component null. Rows
@@ -286,10 +419,10 @@ def near_duplicates(docs: DataFrame, spec: JoinSpec) -> DataFrame:
     labels = components(links)
 
     labelled = members.join(labels, "id", "left").select("key", "tree", "id", F.coalesce("label", "id").alias("label"))
-    open_pairs = _open_pairs(labelled, reps, spec).join(near, ["a", "b"], "left_anti")
-    open_pairs = materialize(open_pairs, "neardup-open")
+    open_pairs, inside = _open_pairs(slim, labelled, reps, spec)
+    open_pairs = materialize(open_pairs.join(near, ["a", "b"], "left_anti"), "neardup-open")
     more = materialize(_confirmed(slim, reps, open_pairs, spec), "neardup-links")
-    labels = components(links.union(more))
+    labels = components(links.union(inside).union(more))
 
     # Classes to components, then rows to classes; each row's own set names its class.
     owner = classes.join(labels, "id", "left").select("fp1", "fp2", "n", F.coalesce("label", "id").alias("component_id"))
