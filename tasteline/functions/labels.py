@@ -19,7 +19,7 @@ BIAS_LINE = (
 BIAS_FIELDS = ["items", "users", "damping", "Metric", "Time_TTL", "Time_fit", "Time_rec", "Time_evl"]
 BIAS_FLAGS = ["items", "users"]
 BIAS_PREFIX = "items"
-LOG_NAME = r"(stats_[0-9A-Za-z_]+)"
+LOG_NAME = r".*(stats_[0-9A-Za-z_]+)"
 MAP_TAGS = [
     "classical",
     "folk",
@@ -43,7 +43,7 @@ def line_values(line: Column, fields: list[str], flags: list[str]) -> Column:
 
 
 def log_name(path: Column) -> Column:
-    """Log name in a path: a file ``stats_0_25.txt`` or a folder of that name."""
+    """Log name in a path: the last file ``stats_0_25.txt`` or folder of such a name."""
     return F.regexp_extract(path, LOG_NAME, 1)
 
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from tasteline.operators.blocks import BLOCK_ROWS, top_matches
 from tasteline.session import shared_root
 
-RATINGS_PER_BLOCK = 4_000_000
-MIN_BLOCKS = 10
-MAX_BLOCKS = 4_000
+# (user blocks, item blocks) of a fit. They seed the start factors, so a model is
+# a function of them; about four million ratings a block fit one task.
+BLOCKS = (10, 10)
 
 
 class AlsParams(NamedTuple):
@@ -23,27 +23,20 @@ class AlsParams(NamedTuple):
     max_iter: int = 5
 
 
-def block_count(n_ratings: int) -> int:
-    """Blocks that keep a block's ratings within one task's memory."""
-    return max(MIN_BLOCKS, min(MAX_BLOCKS, -(-n_ratings // RATINGS_PER_BLOCK)))
-
-
 def fit_als(
     train: DataFrame,
     params: AlsParams = AlsParams(),
-    blocks: tuple[int, int] | None = None,
+    blocks: tuple[int, int] = BLOCKS,
     seed: int = 42,
 ) -> ALSModel:
     """Fit on distinct (user_index, track_index, count) rows.
 
     One row per pair bounds the ratings of one user by the catalogue, however
-    many plays the user has. ``blocks`` is (user blocks, item blocks); without
-    it the number follows from the number of ratings.
+    many plays the user has; the ratings of one track stay in one item block.
+    ``blocks`` is (user blocks, item blocks), to be set for the data at hand: the
+    same blocks and seed give the same model, whatever the size of the data.
     """
     shared_root(train.sparkSession)
-    if blocks is None:
-        n = block_count(train.count())
-        blocks = (n, n)
     als = ALS(
         userCol="user_index",
         itemCol="track_index",
@@ -74,13 +67,25 @@ def recommend(
     leave out seen tracks; equal ratings come by rising track. Users without
     factors drop out.
     """
+    return recommend_by(user_factors(model), item_factors(model), users, k, seen, block_rows)
+
+
+def recommend_by(
+    user_vectors: DataFrame,
+    track_vectors: DataFrame,
+    users: DataFrame,
+    k: int,
+    seen: DataFrame | None = None,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """``recommend`` for any two (id, features) tables."""
     wanted = users.select(F.col("user_index").alias("id"))
-    rows = user_factors(model).join(wanted, "id", "left_semi")
+    rows = user_vectors.join(wanted, "id", "left_semi")
     taken = None
     if seen is not None:
         taken = seen.select(F.col("user_index").alias("id"), F.col("track_index").alias("other"))
         taken = taken.join(wanted, "id", "left_semi")
-    best = top_matches(rows, item_factors(model), k, taken, block_rows)
+    best = top_matches(rows, track_vectors, k, taken, block_rows)
     return best.select(
         F.col("id").alias("user_index"),
         F.col("matches").cast("array<struct<track_index:int,rating:float>>").alias("recommendations"),
@@ -89,9 +94,16 @@ def recommend(
 
 def recommend_items(model: ALSModel, tracks: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(track_index, recommendations): top ``k`` users of each track."""
+    return recommend_items_by(user_factors(model), item_factors(model), tracks, k, block_rows)
+
+
+def recommend_items_by(
+    user_vectors: DataFrame, track_vectors: DataFrame, tracks: DataFrame, k: int, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """``recommend_items`` for any two (id, features) tables."""
     wanted = tracks.select(F.col("track_index").alias("id"))
-    rows = item_factors(model).join(wanted, "id", "left_semi")
-    best = top_matches(rows, user_factors(model), k, block_rows=block_rows)
+    rows = track_vectors.join(wanted, "id", "left_semi")
+    best = top_matches(rows, user_vectors, k, block_rows=block_rows)
     return best.select(
         F.col("id").alias("track_index"),
         F.col("matches").cast("array<struct<user_index:int,rating:float>>").alias("recommendations"),

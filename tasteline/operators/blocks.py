@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 131_072
+# Rows of either side in a block, and pairs to leave out in a pair of blocks.
+BLOCK_ROWS = 16_384
+BLOCK_PAIRS = 4_000_000
 _MIN_ROWS = 256
-_CELLS = 4_000_000
-_TAKEN = np.iinfo(np.int64).min
+_CELLS = 2_000_000
 
 
 def top_matches(
@@ -31,12 +32,20 @@ def top_matches(
     Both sides are hashed into blocks of about ``block_rows`` rows. Each pair of
     blocks is one group: a matrix product and a partial top-k, so that only k
     entries per row and block leave a task. Taken pairs are cut by both blocks
-    too, so a row with very many of them is spread like everything else.
+    too, so a row with very many of them is spread like everything else. Ratings
+    are summed in double, dimension after dimension, so they and the order don't
+    depend on the blocks. Null features fail the job.
     """
     n_left, n_right = left.count(), right.count()
+    n_taken = 0 if taken is None else taken.count()
     right_blocks = max(1, -(-n_right // block_rows))
     wanted_tasks = 2 * left.sparkSession.sparkContext.defaultParallelism
-    left_blocks = max(-(-n_left // block_rows), min(-(-wanted_tasks // right_blocks), n_left // _MIN_ROWS), 1)
+    left_blocks = max(
+        -(-n_left // block_rows),
+        -(-n_taken // (BLOCK_PAIRS * right_blocks)),
+        min(-(-wanted_tasks // right_blocks), n_left // _MIN_ROWS),
+        1,
+    )
 
     def block_of(column: str, n: int) -> Column:
         return F.pmod(F.hash(column), F.lit(n))
@@ -63,16 +72,16 @@ def top_matches(
     others = right.withColumn("_l", each_left).select(
         numbered(F.col("_l"), block_of("id", right_blocks)), F.col("id").alias("other"), "features"
     )
-    # The groups are heavy to work on but small in bytes; a fixed number of
-    # partitions keeps them from being merged by size.
-    tasks = left_blocks * right_blocks
+    # The groups are heavy to work on but small in bytes; one task for each block
+    # keeps them from being merged by size or meeting in one partition by hash.
+    tasks, block = left_blocks * right_blocks, F.col("_block").cast("int")
     best = (
-        rows.repartition(tasks, "_block")
+        rows.repartitionById(tasks, block)
         .groupBy("_block")
-        .cogroup(others.repartition(tasks, "_block").groupBy("_block"))
-        .applyInPandas(_rank_block(k), "id int, other array<int>, rating array<float>")
+        .cogroup(others.repartitionById(tasks, block).groupBy("_block"))
+        .applyInArrow(_rank_block(k), "id int, other array<int>, rating array<double>")
     )
-    matches = F.arrays_zip(F.col("other").alias("id"), F.col("rating")).cast("array<struct<id:int,rating:float>>")
+    matches = F.arrays_zip(F.col("other").alias("id"), F.col("rating")).cast("array<struct<id:int,rating:double>>")
     best = best.select("id", matches.alias("matches"))
     if right_blocks == 1:
         return best
@@ -82,41 +91,76 @@ def top_matches(
     return joined.select("id", back.alias("matches"))
 
 
-def _rank_block(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    def rank(rows: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        scored = rows["features"].notna()
-        out = {"id": [], "other": [], "rating": []}
-        if others.empty or not scored.any():
-            return pd.DataFrame(out)
-        taken = dict(zip(rows.loc[~scored, "id"], rows.loc[~scored, "_taken"]))
-        others = others.sort_values("other")
-        ids = others["other"].to_numpy(np.int32)
-        columns = np.stack(others["features"].to_numpy()).astype(np.float32).T
-        n = len(ids)
-        keep = min(k, n)
-        low_bits = np.arange(n - 1, -1, -1, dtype=np.int64)
-        rows = rows.loc[scored, ["id", "features"]]
-        step = max(1, _CELLS // n)
-        for start in range(0, len(rows), step):
-            part = rows.iloc[start : start + step]
-            scores = np.stack(part["features"].to_numpy()).astype(np.float32) @ columns + np.float32(0)
-            # Float order as integer order, the place in ``ids`` below it: unique keys.
-            bits = scores.view(np.int32).astype(np.int64)
-            keys = (np.where(bits < 0, bits ^ 0x7FFFFFFF, bits) << 32) | low_bits
-            for i, row_id in enumerate(part["id"]):
-                if row_id in taken:
-                    known = np.asarray(taken[row_id])
-                    place = np.minimum(np.searchsorted(ids, known), n - 1)
-                    keys[i, place[ids[place] == known]] = _TAKEN
-            best = np.argpartition(keys, n - keep, axis=1)[:, n - keep :]
-            order = np.argsort(-np.take_along_axis(keys, best, axis=1), axis=1, kind="stable")
-            best = np.take_along_axis(best, order, axis=1)
-            free = np.take_along_axis(keys, best, axis=1) != _TAKEN
-            for i, row_id in enumerate(part["id"]):
-                chosen = best[i][free[i]]
-                out["id"].append(row_id)
-                out["other"].append(ids[chosen])
-                out["rating"].append(scores[i, chosen])
-        return pd.DataFrame(out)
+def _matrix(features: pa.ChunkedArray) -> np.ndarray:
+    features = features.combine_chunks()
+    if features.null_count:
+        raise ValueError("a row without features can't be matched")
+    return features.flatten().to_numpy().reshape(len(features), -1)
+
+
+def _exact(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Scalar products of row pairs in double, summed in the order of the dimensions."""
+    total = np.zeros(len(left))
+    for d in range(left.shape[1]):
+        total += left[:, d].astype(np.float64) * right[:, d]
+    return total
+
+
+def _rank_block(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    schema = pa.schema([("id", pa.int32()), ("other", pa.list_(pa.int32())), ("rating", pa.list_(pa.float64()))])
+
+    def rank(rows: pa.Table, others: pa.Table) -> pa.Table:
+        scored = rows.filter(rows.column("_taken").is_null())
+        if not scored.num_rows or not others.num_rows:
+            return schema.empty_table()
+        cut = rows.filter(rows.column("_taken").is_valid())
+        others = others.sort_by("other")
+        ids = others.column("other").to_numpy().astype(np.int32)
+        right = _matrix(others.column("features"))
+        left_ids = scored.column("id").to_numpy().astype(np.int32)
+        order = np.argsort(left_ids)
+        left_ids, left = left_ids[order], _matrix(scored.column("features"))[order]
+        row, place = _places(left_ids, ids, cut)
+        # A single-precision product is off by less than this; the chosen are summed again.
+        error = 4 * right.shape[1] * np.finfo(np.float32).eps * np.linalg.norm(right, axis=1).max()
+        slack = error * np.linalg.norm(left, axis=1)
+        n, keep = len(ids), min(k, len(ids))
+        step, parts = max(1, _CELLS // n), []
+        for start in range(0, len(left), step):
+            part = left[start : start + step]
+            scores = part @ right.T
+            own = slice(*np.searchsorted(row, [start, start + step]))
+            scores[row[own] - start, place[own]] = -np.inf
+            least = np.partition(scores, n - keep, axis=1)[:, n - keep]
+            near = np.nonzero((scores >= (least - slack[start : start + step])[:, None]) & (scores > -np.inf))
+            ratings = _exact(part[near[0]], right[near[1]])
+            by = np.lexsort((near[1], -ratings, near[0]))
+            at = near[0][by]
+            first = np.arange(len(at)) - np.searchsorted(at, at) < keep
+            parts.append((start + at[first], ids[near[1][by][first]], ratings[by][first]))
+        at, other, rating = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        ends = pa.array(np.searchsorted(at, np.arange(len(left) + 1)).astype(np.int32))
+        return pa.table(
+            [
+                pa.array(left_ids),
+                pa.ListArray.from_arrays(ends, pa.array(other)),
+                pa.ListArray.from_arrays(ends, pa.array(rating + 0.0)),
+            ],
+            schema=schema,
+        )
 
     return rank
+
+
+def _places(left_ids: np.ndarray, ids: np.ndarray, cut: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of every pair to leave out, by row."""
+    if not cut.num_rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    lists = cut.column("_taken").combine_chunks()
+    owner = np.repeat(cut.column("id").to_numpy(), np.diff(lists.offsets.to_numpy()))
+    other = lists.flatten().to_numpy()
+    row = np.minimum(np.searchsorted(left_ids, owner), len(left_ids) - 1)
+    place = np.minimum(np.searchsorted(ids, other), len(ids) - 1)
+    known = (left_ids[row] == owner) & (ids[place] == other)
+    order = np.argsort(row[known], kind="stable")
+    return row[known][order], place[known][order]

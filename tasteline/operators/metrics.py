@@ -20,8 +20,8 @@ def pair_lists(recs: DataFrame, truth: DataFrame, by: tuple[str, ...] = ()) -> D
 def user_hits(pairs: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """(by..., user_index, hits, n_truth, n_predicted), one row per user.
 
-    Works array by array, so a user whose truth list comes in several parts is
-    put together from hit positions only. The join has already placed the rows
+    Works array by array, so a user whose truth list comes in several arrays (no
+    track in two of them) is put together from hit positions only. The join has already placed the rows
     by user; no further shuffle is needed.
     """
     found = F.array_intersect("predicted", "tracks")

@@ -80,7 +80,7 @@ def map_sample(
 
 def project_2d(sample: DataFrame) -> DataFrame:
     """Add the two principal coordinates ``x`` and ``y`` of ``features``."""
-    vectors = sample.withColumn("_v", array_to_vector("features"))
+    vectors = materialize(sample, "map-sample").withColumn("_v", array_to_vector("features"))
     fitted = PCA(k=2, inputCol="_v", outputCol="_xy").fit(vectors)
     xy = fitted.transform(vectors).withColumn("_xy", vector_to_array("_xy"))
     return xy.select(*sample.columns, F.col("_xy")[0].alias("x"), F.col("_xy")[1].alias("y"))

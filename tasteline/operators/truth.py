@@ -5,73 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tasteline.operators.skew import heavy_keys
-
-HOT_ROWS = 100_000
+# Tracks in one array, and neighbouring track codes sorted by one task.
+WIDTH = 100_000
 _ORDER = ["count", "track_index"]
 
 
-def truth_positions(rows: DataFrame, hot_rows: int = HOT_ROWS, width: int = HOT_ROWS) -> DataFrame:
-    """(user_index, pos, track_index): place of each track in its user's list.
+def truth_positions(rows: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(user_index, pos, track_index): place of each distinct track in its user's list.
 
-    Ordered by count, then track. Users with more than ``hot_rows`` rows are cut
-    into blocks of one count and ``width`` neighbouring track codes; a row's
-    place is its place in the block plus the sizes of the blocks before it, so
-    no task sorts the whole list of such a user.
+    Ordered by count, then track; of several rows of a (user, track) pair the
+    greatest count decides. Every user's rows are cut into blocks of one count and
+    ``width`` neighbouring track codes: a row's place is its place in the block
+    plus the sizes of the blocks before it, so no task sorts the whole list of a
+    user with very many rows, and all users go the same way.
     """
-    rows = rows.select("user_index", *_ORDER)
-    heavy = heavy_keys(rows, "user_index", hot_rows)
-    if heavy is None:
-        return _ranked(rows, ["user_index"]).select("user_index", "pos", "track_index")
-    block = ["_count", "_range"]
-    cut = rows.join(heavy.withColumn("_hot", F.lit(True)), "user_index", "left").withColumns(
-        {
-            "_count": F.when(F.col("_hot"), F.col("count")),
-            "_range": F.when(F.col("_hot"), F.floor(F.col("track_index") / width)),
-        }
-    )
-    ranked = _ranked(cut, ["user_index", *block])
-    sizes = cut.where("_hot").groupBy("user_index", *block).agg(F.count("*").alias("_n"))
+    pairs = rows.groupBy("user_index", "track_index").agg(F.max("count").alias("count"))
+    block = ["count", "_range"]
+    cut = pairs.withColumn("_range", F.floor(F.col("track_index") / width))
+    within = Window.partitionBy("user_index", *block).orderBy("track_index")
+    sizes = cut.groupBy("user_index", *block).agg(F.count("*").alias("_n"))
     before = Window.partitionBy("user_index").orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("user_index", *block, F.sum("_n").over(before).alias("_start"))
-    return ranked.join(starts, ["user_index", *block], "left").select(
-        "user_index",
-        (F.col("pos") + F.coalesce(F.col("_start"), F.lit(0))).cast("int").alias("pos"),
-        "track_index",
-    )
+    starts = sizes.select("user_index", *block, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    placed = cut.withColumn("_place", F.row_number().over(within)).join(starts, ["user_index", *block])
+    return placed.select("user_index", (F.col("_start") + F.col("_place")).cast("int").alias("pos"), "track_index")
 
 
-def _ranked(rows: DataFrame, group: list[str]) -> DataFrame:
-    return rows.withColumn("pos", F.row_number().over(Window.partitionBy(*group).orderBy(*_ORDER)))
+def truth_lists(rows: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(user_index, first, tracks): the list of each user in arrays of at most ``width`` tracks.
 
-
-def truth_lists(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(user_index, part, tracks): the list of each user, as one array.
-
-    A list longer than ``hot_rows`` comes as several arrays of at most that
-    length, numbered by ``part``; every other user has part 0 only.
+    ``first`` is the place of an array's first track, so lists read back right
+    whatever the width was. No track occurs twice among the arrays of a user.
     """
-    heavy = heavy_keys(rows, "user_index", hot_rows)
-    light = rows if heavy is None else rows.join(heavy, "user_index", "left_anti")
-    lists = (
-        light.groupBy("user_index")
-        .agg(F.sort_array(F.collect_list(F.struct(*_ORDER))).alias("_plays"))
-        .select("user_index", F.lit(0).cast("long").alias("part"), F.col("_plays.track_index").alias("tracks"))
-    )
-    if heavy is None:
-        return lists
-    placed = truth_positions(rows.join(heavy, "user_index", "left_semi"), hot_rows, hot_rows)
-    parts = (
-        placed.withColumn("part", F.floor((F.col("pos") - 1) / hot_rows))
-        .groupBy("user_index", "part")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "track_index"))).alias("_plays"))
-        .select("user_index", "part", F.col("_plays.track_index").alias("tracks"))
+    placed = truth_positions(rows, width)
+    part = F.floor((F.col("pos") - 1) / width).alias("_part")
+    lists = placed.groupBy("user_index", part).agg(
+        F.min("pos").alias("first"), F.sort_array(F.collect_list(F.struct("pos", "track_index"))).alias("_plays")
     )
-    return lists.unionByName(parts)
+    return lists.select("user_index", "first", F.col("_plays.track_index").alias("tracks"))
 
 
-def flat_truth(truth: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def flat_truth(truth: DataFrame) -> DataFrame:
     """Truth lists back to one row per (user_index, pos, track_index)."""
-    return truth.select("user_index", "part", F.posexplode("tracks").alias("_i", "track_index")).select(
-        "user_index", (F.col("part") * hot_rows + F.col("_i") + 1).cast("int").alias("pos"), "track_index"
+    return truth.select("user_index", "first", F.posexplode("tracks").alias("_i", "track_index")).select(
+        "user_index", (F.col("first") + F.col("_i")).cast("int").alias("pos"), "track_index"
     )

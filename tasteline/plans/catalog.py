@@ -37,9 +37,12 @@ SMALL_FRACTION = 0.05
 DAMPING = 10.0
 MAP_TYPES = ["STANDARD", "ECONOMY", "PROMO"]
 MAP_ROWS = 200
+GIVEN_BLOCK_ROWS = 512
 
 _WORKSPACES: dict[tuple[str, str], str] = {}
 _BIAS_LOGS: dict[str, str] = {}
+_ALS_RUNS: dict[str, str] = {}
+_LOGS: dict[str, str] = {}
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> str:
@@ -54,7 +57,7 @@ def workspace(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _raw_at(spark: SparkSession, path: str) -> Splits:
-    return Splits.of(spark.read.parquet(f"{path}/interactions"))
+    return tables.load_splits(spark, f"{path}/interactions", {name: f"split={name}" for name in Splits._fields})
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> Splits:
@@ -167,46 +170,45 @@ def truth_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Joins, set operations, samples
 
 
-def _drawn_users(raw: Splits) -> DataFrame:
-    users = joins.distinct_ids(raw.validation, "user_id")
-    return sampling.subsample_eval_users(users, FRACTION, key="user_id")
+def _val_users(raw: Splits) -> DataFrame:
+    return joins.distinct_ids(raw.validation, "user_id")
 
 
 def restrict_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
-    return joins.restrict_users(raw.train, _drawn_users(raw))
+    return joins.restrict_users(raw.train, _val_users(raw))
 
 
 def rows_of_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
-    return joins.rows_of_users(raw.train, _drawn_users(raw), ["user_id", "count", "track_id"])
+    return joins.rows_of_users(raw.train, _val_users(raw), ["user_id", "count", "track_id"])
 
 
 def rows_not_of_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
-    return joins.rows_not_of_users(raw.train, _drawn_users(raw), ["user_id", "count", "track_id"])
+    return joins.rows_not_of_users(raw.train, _val_users(raw), ["user_id", "count", "track_id"])
 
 
 def rows_except(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
     columns = ["user_id", "count", "track_id"]
-    return joins.rows_except(raw.train.select(*columns), joins.rows_of_users(raw.train, _drawn_users(raw), columns))
+    return joins.rows_except(raw.train.select(*columns), joins.rows_of_users(raw.train, _val_users(raw), columns))
 
 
 def subsample_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keeps the drawn validation users and a quarter of all users."""
+    """Keeps the validation users and a quarter of all users."""
     raw = _raw(spark, sf_dir)
-    return sampling.subsample_users(raw.train, _drawn_users(raw), FRACTION, seed=7)
+    return sampling.subsample_users(raw.train, _val_users(raw), FRACTION, seed=7)
 
 
 def subsample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
-    return sampling.subsample_rows(raw.train, _drawn_users(raw), FRACTION)
+    return sampling.subsample_rows(raw.train, _val_users(raw), FRACTION)
 
 
 def subsample_except(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
-    return sampling.subsample_rows(raw.train, _drawn_users(raw), SMALL_FRACTION, dedup=True)
+    return sampling.subsample_rows(raw.train, _val_users(raw), SMALL_FRACTION, dedup=True)
 
 
 def eval_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,11 +309,46 @@ def _model(spark: SparkSession, sf_dir: str) -> ALSModel:
     )
 
 
+def _given(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A given vector for every validation user and every train track."""
+    splits = _encoded(spark, sf_dir)
+    users = joins.distinct_ids(splits.validation, "user_index").withColumnRenamed("user_index", "id")
+    tracks = joins.distinct_ids(splits.train, "track_index").withColumnRenamed("track_index", "id")
+    return starschema.whole_factors(spark, sf_dir, users), starschema.whole_factors(spark, sf_dir, tracks)
+
+
 def factor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validation pairs scored by given vectors."""
     pairs = _encoded(spark, sf_dir).validation.select("user_index", "track_index")
-    vectors = starschema.factors(spark, sf_dir)
-    return _rounded(als.score_factors(pairs, vectors, vectors), "prediction")
+    return als.score_factors(pairs, *_given(spark, sf_dir))
+
+
+def _factor_lists(spark: SparkSession, sf_dir: str, exclude_seen: bool) -> DataFrame:
+    seen = _encoded(spark, sf_dir).train if exclude_seen else None
+    recs = als.recommend_by(*_given(spark, sf_dir), _users(spark, sf_dir), TOP, seen, GIVEN_BLOCK_ROWS)
+    return toplists.flat_lists(recs).withColumn("rating", F.col("rating").cast("double"))
+
+
+def factor_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _factor_lists(spark, sf_dir, False)
+
+
+def factor_topk_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _factor_lists(spark, sf_dir, True)
+
+
+def _flat_items(recs: DataFrame) -> DataFrame:
+    flat = recs.select("track_index", F.posexplode_outer("recommendations").alias("_i", "_r"))
+    return flat.where(F.col("_i").isNotNull()).select(
+        "track_index", (F.col("_i") + 1).alias("pos"), "_r.user_index", "_r.rating"
+    )
+
+
+def factor_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best validation users of every train track, by given vectors."""
+    tracks = joins.distinct_ids(_encoded(spark, sf_dir).train, "track_index")
+    recs = als.recommend_items_by(*_given(spark, sf_dir), tracks, 10, GIVEN_BLOCK_ROWS)
+    return _flat_items(recs).withColumn("rating", F.col("rating").cast("double"))
 
 
 def als_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,11 +367,7 @@ def als_topk_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
 def als_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best users of every validation track."""
     tracks = joins.distinct_ids(_encoded(spark, sf_dir).validation, "track_index")
-    recs = als.recommend_items(_model(spark, sf_dir), tracks, 10)
-    flat = recs.select("track_index", F.posexplode_outer("recommendations").alias("_i", "_r"))
-    return flat.where(F.col("_i").isNotNull()).select(
-        "track_index", (F.col("_i") + 1).alias("pos"), "_r.user_index", "_r.rating"
-    )
+    return _flat_items(als.recommend_items(_model(spark, sf_dir), tracks, 10))
 
 
 def als_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,18 +390,97 @@ def als_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def als_tune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run records of a small grid; the best model is saved on the way."""
-    runs_path = scratch_path(spark, "runs")
-    tune.tune_als(
-        _encoded(spark, sf_dir).train,
-        _truth(spark, sf_dir),
-        _users(spark, sf_dir),
-        ALS_GRID,
-        TOP,
-        runs_path,
-        model_path=scratch_path(spark, "best"),
+    """Run records of a small grid, searched once per workspace; the best model is saved on the way."""
+    path = workspace(spark, sf_dir)
+    if path not in _ALS_RUNS:
+        runs_path = scratch_path(spark, "runs")
+        train, truth_rows, users = _encoded(spark, sf_dir).train, _truth(spark, sf_dir), _users(spark, sf_dir)
+        tune.tune_als(train, truth_rows, users, ALS_GRID, TOP, runs_path, model_path=f"{path}/als_best")
+        _ALS_RUNS[path] = runs_path
+    return runlog.load_runs(spark, _ALS_RUNS[path]).orderBy("run_no")
+
+
+# What can be said of fitted models without their values
+
+
+def als_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and lengths of the track factors."""
+    return als.item_factors(_model(spark, sf_dir)).select("id", F.size("features").alias("n_features"))
+
+
+def als_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length of each user's list without seen tracks, distinct tracks and seen tracks in it, and its order."""
+    train = _encoded(spark, sf_dir).train
+    recs = als.recommend(_model(spark, sf_dir), _users(spark, sf_dir), TOP, train)
+    seen = train.groupBy("user_index").agg(F.collect_set("track_index").alias("_seen"))
+    listed, ratings = F.col("recommendations.track_index"), F.col("recommendations.rating")
+    return recs.join(seen, "user_index").select(
+        "user_index",
+        F.size(listed).alias("n_list"),
+        F.size(F.array_distinct(listed)).alias("n_distinct"),
+        F.size(F.array_intersect(listed, "_seen")).alias("n_seen"),
+        (ratings == F.reverse(F.array_sort(ratings))).alias("falling"),
     )
-    return runlog.load_runs(spark, runs_path).orderBy("run_no")
+
+
+def als_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation pairs whose score is the product of the exported factors."""
+    model, pairs = _model(spark, sf_dir), _encoded(spark, sf_dir).validation.select("user_index", "track_index")
+    scored = als.score_pairs(model, pairs).withColumnRenamed("prediction", "_model")
+    both = als.score_factors(scored, als.user_factors(model), als.item_factors(model))
+    close = F.abs(F.col("_model") - F.col("prediction")) <= 1e-4 * (1 + F.abs("prediction"))
+    return both.select("user_index", "track_index", close.alias("agrees"))
+
+
+def als_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Factors of a model, saved and loaded again, that are as they were."""
+    model = _model(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    models.save_model(model, path)
+    loaded = als.item_factors(models.load_model(path)).withColumnRenamed("features", "_again")
+    return als.item_factors(model).join(loaded, "id").select("id", (F.col("features") == F.col("_again")).alias("same"))
+
+
+def als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parameters of each run of the search, and whether its metric and times can be true."""
+    parts = F.col("Time_fit") + F.col("Time_rec") + F.col("Time_evl")
+    return als_tune(spark, sf_dir).select(
+        "run_no",
+        "Rank",
+        "Reg",
+        "Alpha",
+        "Maxiter",
+        "User_blocks",
+        "Item_blocks",
+        F.col("Metric").between(0, 1).alias("metric_ok"),
+        (F.abs(parts - F.col("Time_TTL")) < 1e-6).alias("times_ok"),
+    )
+
+
+def als_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search's records as text log and back."""
+    lines = als_tune(spark, sf_dir).select(F.lit("stats_1_0").alias("log"), runlog.als_line().alias("value"))
+    path = scratch_path(spark, "als-logs")
+    runlog.write_logs(lines, path)
+    parsed = runs.parse_als_runs(runlog.read_logs(spark, path))
+    return parsed.select("series", "Rank", "Reg", "Alpha", "Maxiter", F.col("Metric").between(0, 1).alias("metric_ok"))
+
+
+# The test split
+
+
+def bias_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damped-bias lists without seen tracks, all metrics on the test split."""
+    train = _encoded(spark, sf_dir).train
+    model = bias.fit_bias(train, BiasPoint(True, False, DAMPING))
+    recs = bias.recommend_bias(model, _users(spark, sf_dir, "test"), TOP, train)
+    return _rounded(metrics.ranking_metrics(recs, _truth(spark, sf_dir, "test"), TOP), *metrics.METRICS)
+
+
+def popularity_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train = _encoded(spark, sf_dir).train
+    recs = bias.recommend_popular(train, _users(spark, sf_dir, "test"), TOP, by="n_users", exclude_seen=True)
+    return _rounded(metrics.ranking_metrics(recs, _truth(spark, sf_dir, "test"), 10), *metrics.METRICS)
 
 
 # Tag map
@@ -388,8 +500,10 @@ def artist_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tag_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = F.round(F.col("features")[0].cast("double"), 6).alias("first_feature")
-    return _tagged(spark, sf_dir).select("track_id", "track_index", "mbtag", "id", "n_features", first)
+    """Every component of the vectors, rounded, in one string."""
+    rounded = F.transform("features", lambda x: F.round(x.cast("double") * 1_000_000).cast("long").cast("string"))
+    columns = ["track_id", "track_index", "mbtag", "id", "n_features"]
+    return _tagged(spark, sf_dir).select(*columns, F.array_join(rounded, " ").alias("millionths"))
 
 
 def tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,10 +531,18 @@ def map_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Run logs
 
 
+def _log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the run logs, written once per workspace."""
+    path = workspace(spark, sf_dir)
+    if path not in _LOGS:
+        logs = scratch_path(spark, "logs")
+        runlog.write_logs(starschema.run_log_lines(spark, sf_dir), logs)
+        _LOGS[path] = logs
+    return runlog.read_logs(spark, _LOGS[path])
+
+
 def _als_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "logs")
-    runlog.write_logs(starschema.run_log_lines(spark, sf_dir), path)
-    return runs.parse_als_runs(runlog.read_logs(spark, path))
+    return runs.parse_als_runs(_log_lines(spark, sf_dir))
 
 
 def als_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -428,9 +550,7 @@ def als_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "logs")
-    runlog.write_logs(starschema.run_log_lines(spark, sf_dir), path)
-    return runlog.log_names(runlog.read_logs(spark, path))
+    return runlog.log_names(_log_lines(spark, sf_dir))
 
 
 def series_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -521,6 +641,9 @@ QUERIES: dict[str, Query] = {
         rmse_bias,
         bias_tune,
         factor_scores,
+        factor_topk,
+        factor_topk_unseen,
+        factor_items,
         als_factors,
         als_topk,
         als_topk_unseen,
@@ -530,6 +653,14 @@ QUERIES: dict[str, Query] = {
         als_metrics,
         als_test,
         als_tune,
+        als_ids,
+        als_lists,
+        als_agree,
+        als_saved,
+        als_grid,
+        als_log,
+        bias_test,
+        popularity_test,
         artist_tag,
         tag_embedding,
         tag_counts,

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from tasteline.functions.labels import ALS_FIELDS
+from tasteline.operators.als import BLOCKS
 from tasteline.plans.catalog import (
+    ALS_GRID,
     BIAS_GRID,
     DAMPING,
     FRACTION,
@@ -56,7 +58,7 @@ def _drawn(key: str, fraction: float, seed: int = DEFAULT_SEED) -> str:
 
 
 _DRAWN = f"""{_INTER},
-drawn AS (SELECT DISTINCT user_id FROM inter WHERE split = 'validation' AND {_drawn('user_id', FRACTION)})"""
+drawn AS (SELECT DISTINCT user_id FROM inter WHERE split = 'validation')"""
 
 _MU = 'mu AS (SELECT CAST(sum("count") AS DOUBLE) / count(*) AS mu FROM train)'
 
@@ -179,6 +181,40 @@ tagged AS (
 _TAG_LIST = ", ".join(f"'{t}'" for t in MAP_TYPES)
 _TAG_CASE = " ".join(f"WHEN '{t}' THEN '{i}_{t}'" for i, t in enumerate(MAP_TYPES))
 
+_ALL_METRICS = """SELECT count(*) AS n_users, round(avg(precision_at_k), 6) AS precision_at_k,
+       round(avg(precision_list), 6) AS precision_list, round(avg(recall_at_k), 6) AS recall_at_k,
+       round(avg(map), 6) AS map, round(avg(map_at_k), 6) AS map_at_k, round(avg(ndcg_at_k), 6) AS ndcg_at_k
+FROM per_user"""
+
+_VECTORS = """
+vec AS (
+  SELECT vec_id, list_transform(embedding, lambda x: round(CAST(x AS DOUBLE) * 64)) AS e, count(*) OVER () AS n
+  FROM embeddings)"""
+
+_GIVEN = f"""{_ENC}, {_VECTORS},
+uvec AS (SELECT user_index, e FROM users JOIN vec ON vec_id = user_index % n),
+tvec AS (SELECT track_index, e FROM (SELECT DISTINCT track_index FROM train) JOIN vec ON vec_id = track_index % n)"""
+
+
+def _given_lists(unseen: str) -> str:
+    return f"""
+given_lists AS (
+  SELECT * FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY user_index ORDER BY rating DESC, track_index) AS INTEGER) AS pos
+    FROM (SELECT user_index, track_index, list_dot_product(u.e, t.e) AS rating FROM uvec u, tvec t {unseen}))
+  WHERE pos <= {TOP})"""
+
+
+def _on_test(sql: str) -> str:
+    """The same query with the test split in place of the validation split."""
+    return sql.replace("WHERE split = 'validation')", "WHERE split = 'test')")
+
+
+_ALS_POINTS = "(VALUES " + ", ".join(
+    f"({i}, {float(p.rank)}::DOUBLE, {p.reg}::DOUBLE, {p.alpha}::DOUBLE, {float(p.max_iter)}::DOUBLE)"
+    for i, p in enumerate(ALS_GRID)
+) + ') AS points(run_no, "Rank", "Reg", "Alpha", "Maxiter")'
+
 _ROW_KEY = 'user_id, track_id, "count"'
 _ROW_COLUMNS = 'user_id, "count", track_id'
 
@@ -263,22 +299,48 @@ SELECT user_index, pos, track_index, rating FROM lists""",
     "ranking_metrics": f"""WITH {_ENC},
 {_lists('SELECT track_index, CAST(count(*) AS DOUBLE) AS rating FROM train GROUP BY track_index', True)}, {_HITS},
 {_per_user(10)}
-SELECT count(*) AS n_users, round(avg(precision_at_k), 6) AS precision_at_k,
-       round(avg(precision_list), 6) AS precision_list, round(avg(recall_at_k), 6) AS recall_at_k,
-       round(avg(map), 6) AS map, round(avg(map_at_k), 6) AS map_at_k, round(avg(ndcg_at_k), 6) AS ndcg_at_k
-FROM per_user""",
+{_ALL_METRICS}""",
     "rmse_bias": f"""WITH {_bias(True, DAMPING)}
 SELECT round(sqrt(avg(pow(mu + coalesce(item_bias, 0) + coalesce(user_bias, 0) - "count", 2))), 6) AS rmse,
        count(*) AS n_rows
 FROM val LEFT JOIN bi USING (track_index) LEFT JOIN bu USING (user_index), mu""",
     "bias_tune": f'WITH {_TUNED} SELECT run_no, items, users, damping, "Metric" FROM tuned',
-    "factor_scores": f"""WITH {_ENC}
-SELECT user_index, track_index, round(list_dot_product(CAST(u.embedding AS DOUBLE[]), CAST(t.embedding AS DOUBLE[])), 6) AS prediction
-FROM val JOIN embeddings u ON u.vec_id = user_index JOIN embeddings t ON t.vec_id = track_index""",
+    "factor_scores": f"""WITH {_GIVEN}
+SELECT user_index, track_index, list_dot_product(u.e, t.e) AS prediction
+FROM val JOIN uvec u USING (user_index) JOIN tvec t USING (track_index)""",
+    "factor_topk": f"""WITH {_GIVEN}, {_given_lists('')}
+SELECT user_index, pos, track_index, rating FROM given_lists""",
+    "factor_topk_unseen": f"""WITH {_GIVEN}, {_given_lists('WHERE (user_index, track_index) NOT IN (SELECT user_index, track_index FROM train)')}
+SELECT user_index, pos, track_index, rating FROM given_lists""",
+    "factor_items": f"""WITH {_GIVEN}
+SELECT track_index, pos, user_index, rating FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY track_index ORDER BY rating DESC, user_index) AS INTEGER) AS pos
+  FROM (SELECT user_index, track_index, list_dot_product(u.e, t.e) AS rating FROM uvec u, tvec t))
+WHERE pos <= 10""",
+    "als_ids": f"WITH {_ENC} SELECT DISTINCT track_index AS id, CAST(10 AS INTEGER) AS n_features FROM train",
+    "als_lists": f"""WITH {_ENC}
+SELECT user_index, n_list, n_list AS n_distinct, CAST(0 AS INTEGER) AS n_seen, true AS falling FROM (
+  SELECT user_index, CAST(least({TOP}, (SELECT count(DISTINCT track_index) FROM train) - count(*)) AS INTEGER) AS n_list
+  FROM train WHERE user_index IN (SELECT user_index FROM users) GROUP BY user_index)""",
+    "als_agree": f"""WITH {_ENC}
+SELECT user_index, track_index, true AS agrees FROM val
+WHERE track_index IN (SELECT track_index FROM train)""",
+    "als_saved": f"WITH {_ENC} SELECT DISTINCT track_index AS id, true AS same FROM train",
+    "als_grid": f"""SELECT CAST(run_no AS INTEGER) AS run_no, "Rank", "Reg", "Alpha", "Maxiter",
+  CAST({BLOCKS[0]} AS INTEGER) AS "User_blocks", CAST({BLOCKS[1]} AS INTEGER) AS "Item_blocks",
+  true AS metric_ok, true AS times_ok FROM {_ALS_POINTS}""",
+    "als_log": f"""SELECT 'spark 1.0' AS series, "Rank", "Reg", "Alpha", "Maxiter", true AS metric_ok FROM {_ALS_POINTS}""",
+    "bias_test": _on_test(f"""WITH {_bias(False, DAMPING)}, {_lists(_BIAS_SCORES, True)}, {_HITS}, {_per_user(TOP)}
+{_ALL_METRICS}"""),
+    "popularity_test": _on_test(f"""WITH {_ENC},
+{_lists('SELECT track_index, CAST(count(*) AS DOUBLE) AS rating FROM train GROUP BY track_index', True)}, {_HITS},
+{_per_user(10)}
+{_ALL_METRICS}"""),
     "artist_tag": f"WITH {_TAGGED} SELECT artist_id, mbtag FROM one_tag",
     "tag_embedding": f"""WITH {_TAGGED}
 SELECT track_id, track_index, mbtag, id, CAST(len(features) AS INTEGER) AS n_features,
-       round(CAST(features[1] AS DOUBLE), 6) AS first_feature FROM tagged""",
+       array_to_string(list_transform(features, lambda x: CAST(round(CAST(x AS DOUBLE) * 1000000) AS BIGINT)), ' ') AS millionths
+FROM tagged""",
     "tag_counts": f"WITH {_TAGGED} SELECT mbtag, count(track_index) AS n_tracks FROM tagged GROUP BY mbtag",
     "n_tags": f"WITH {_TAGGED} SELECT count(DISTINCT mbtag) AS n_tags FROM coded",
     "map_sample": f"""WITH {_TAGGED}

@@ -11,10 +11,10 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasteline.operators.als import AlsParams, fit_als, recommend
+from tasteline.operators.als import BLOCKS, AlsParams, fit_als, recommend
 from tasteline.operators.bias import BiasPoint, bias_hits, fit_bias
 from tasteline.operators.metrics import mean_metrics, precision_at, precision_list, ranking_metrics, user_metrics
-from tasteline.session import materialize
+from tasteline.session import discard, materialize
 from tasteline.sources.models import save_model
 from tasteline.sources.runlog import append_run
 
@@ -41,7 +41,7 @@ def tune_als(
     model_path: str | None = None,
     exclude_seen: bool = False,
     list_precision: bool = False,
-    blocks: tuple[int, int] | None = None,
+    blocks: tuple[int, int] = BLOCKS,
 ) -> list[dict]:
     """Fit, recommend and score each point in turn; one record per point.
 
@@ -63,6 +63,7 @@ def tune_als(
             recommended = time.monotonic()
             metric = _score(recs, truth, k, list_precision)
             done = time.monotonic()
+            discard(recs)
             if best is None or metric > best:
                 best = metric
                 if model_path is not None:
@@ -73,6 +74,8 @@ def tune_als(
                 "Reg": params.reg,
                 "Alpha": params.alpha,
                 "Maxiter": params.max_iter,
+                "User_blocks": blocks[0],
+                "Item_blocks": blocks[1],
                 "Metric": metric,
                 "Time_TTL": done - start,
                 "Time_fit": fitted - start,
@@ -141,6 +144,7 @@ def timed_bias_runs(
     recommended = time.monotonic()
     scores = materialize(_bias_scores(hits, points), "scores")
     done = time.monotonic()
+    discard(hits)
     return scores.select(
         "*",
         F.lit(done - start).alias("Time_TTL"),

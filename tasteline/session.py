@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,7 +37,7 @@ def shared_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     app = context.applicationId
     if app not in _LOCAL_ROOTS:
@@ -51,6 +52,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tasteline/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the table that ``materialize`` wrote for ``df``, once nothing reads it any more."""
+    spark = df.sparkSession
+    own = f"/tasteline/{spark.sparkContext.applicationId}/"
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        if own in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from tasteline.functions.labels import ALS_FIELDS, ALS_LINE, BIAS_FIELDS, BIAS_LINE, log_name
 
 ALS_SCHEMA = (
-    "run_no int, Rank double, Reg double, Alpha double, Maxiter double, Metric double, "
+    "run_no int, Rank double, Reg double, Alpha double, Maxiter double, User_blocks int, Item_blocks int, Metric double, "
     "Time_TTL double, Time_fit double, Time_rec double, Time_evl double"
 )
 
 
 def append_run(spark: SparkSession, record: dict, path: str) -> None:
     """Add one finished ALS run to the table of runs."""
-    names = [part.split()[0] for part in ALS_SCHEMA.split(", ")]
-    row = Row(**{n: (int if n == "run_no" else float)(record[n]) for n in names})
+    kinds = dict(part.split() for part in ALS_SCHEMA.split(", "))
+    row = Row(**{n: (int if kind == "int" else float)(record[n]) for n, kind in kinds.items()})
     spark.createDataFrame([row], ALS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 

@@ -66,6 +66,18 @@ def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def whole_factors(spark: SparkSession, sf_dir: str, ids: DataFrame) -> DataFrame:
+    """A vector for each of ``ids`` (id), the given ones in turn, as small whole numbers.
+
+    Sums of their products are exact in single precision, so equal scores are
+    equal in every order of summation.
+    """
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    n = vectors.count()
+    scaled = F.transform("embedding", lambda x: F.round(x.cast("double") * 64).cast("float")).alias("features")
+    return ids.join(vectors, F.col("id") % n == F.col("vec_id")).select("id", scaled)
+
+
 def run_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(log, value): one run line per order line, and per order one line of
     another kind and one blank line that a reader has to skip."""

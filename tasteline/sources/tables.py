@@ -70,7 +70,7 @@ def save_truth(truth: DataFrame, path: str) -> None:
 
 
 def load_truth(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("user_index int, part long, tracks array<int>").parquet(path)
+    return spark.read.schema("user_index int, first int, tracks array<int>").parquet(path)
 
 
 def register(df: DataFrame, name: str) -> DataFrame:

@@ -124,7 +124,7 @@ def test_hot_user_has_no_long_list(spark):
         (F.col("count") % 5).alias("count"),
         F.col("count").alias("track_index"),
     )
-    lists = truth.truth_lists(rows, hot_rows=1000)
+    lists = truth.truth_lists(rows, width=1000)
     sizes = lists.select("user_index", F.size("tracks").alias("n"))
     assert sizes.agg(F.max("n")).first()[0] == 1000
     assert sizes.agg(F.sum("n")).first()[0] == 60_000

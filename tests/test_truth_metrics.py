@@ -15,33 +15,39 @@ def bag(df):
 
 @pytest.fixture(scope="module")
 def plays(spark):
-    """One user holds a third of all rows."""
+    """One user holds a third of all rows; some pairs come twice."""
     rng = random.Random(3)
     rows = [(0, rng.randint(1, 3), t) for t in range(400)]
     rows += [(u, rng.randint(1, 9), t) for u in range(1, 101) for t in rng.sample(range(400), 8)]
+    rows += [(0, 2, t) for t in range(0, 400, 7)] + rows[500:520]
     return spark.createDataFrame(rows, "user_index int, count int, track_index int").repartition(6), rows
 
 
 def expected_positions(rows):
     out = []
     for user in {r[0] for r in rows}:
-        ranked = sorted((r[1], r[2]) for r in rows if r[0] == user)
+        greatest = {}
+        for _, count, track in (r for r in rows if r[0] == user):
+            greatest[track] = max(count, greatest.get(track, 0))
+        ranked = sorted((count, track) for track, count in greatest.items())
         out += [(user, i + 1, track) for i, (_, track) in enumerate(ranked)]
     return sorted(out)
 
 
-@pytest.mark.parametrize("hot_rows, width", [(1000, 1000), (50, 7), (50, 1000), (3, 5)])
-def test_positions_of_hot_users(plays, hot_rows, width):
+@pytest.mark.parametrize("width", [100_000, 1000, 50, 7, 1])
+def test_positions_for_any_width(plays, width):
     df, rows = plays
-    assert bag(truth.truth_positions(df, hot_rows, width)) == expected_positions(rows)
+    assert bag(truth.truth_positions(df, width)) == expected_positions(rows)
 
 
-@pytest.mark.parametrize("hot_rows", [1000, 50, 3])
-def test_lists_are_whole_and_bounded(plays, hot_rows):
+@pytest.mark.parametrize("width", [100_000, 50, 3])
+def test_lists_are_whole_and_bounded(plays, width):
     df, rows = plays
-    lists = truth.truth_lists(df, hot_rows)
-    assert bag(truth.flat_truth(lists, hot_rows)) == expected_positions(rows)
-    assert lists.agg(F.max(F.size("tracks"))).first()[0] <= max(hot_rows, 8 if hot_rows >= 8 else hot_rows)
+    lists = truth.truth_lists(df, width)
+    assert bag(truth.flat_truth(lists)) == expected_positions(rows)
+    assert lists.agg(F.max(F.size("tracks"))).first()[0] <= width
+    n = lists.groupBy("user_index").agg(F.sum(F.size(F.array_distinct("tracks")))).collect()
+    assert dict(map(tuple, n)) == {u: len({r[2] for r in rows if r[0] == u}) for u in {r[0] for r in rows}}
 
 
 def test_lists_hold_what_the_running_window_collects(spark, sf_dir):

@@ -84,10 +84,12 @@ def test_load_or_fit_fits_once(spark, sf_dir):
     assert sorted(map(tuple, first.itemFactors.collect())) == sorted(map(tuple, again.itemFactors.collect()))
 
 
-def test_block_counts():
-    assert als.block_count(1000) == 10
-    assert als.block_count(400_000_000) == 100
-    assert als.block_count(10**12) == 4000
+def test_same_blocks_same_model(spark, sf_dir):
+    train = catalog._encoded(spark, sf_dir).train
+    models_ = [als.fit_als(t, AlsParams(3, 1.0, 1.0, 2)) for t in (train, train)]
+    rows = [sorted((r.id, tuple(r.features)) for r in m.itemFactors.collect()) for m in models_]
+    for (i, x), (j, y) in zip(*rows):
+        assert i == j and x == pytest.approx(y, abs=1e-4)
 
 
 def test_bias_search_is_the_sum_of_single_runs(spark, sf_dir):
@@ -108,6 +110,8 @@ def test_als_lists_do_not_depend_on_layout_of_users(spark, sf_dir):
     model, users = catalog._model(spark, sf_dir), catalog._users(spark, sf_dir)
     once = sorted(map(str, als.recommend(model, users, 5).collect()))
     assert once == sorted(map(str, als.recommend(model, users.repartition(7), 5).collect()))
+    for rows in (16, 64, 100_000):
+        assert once == sorted(map(str, als.recommend(model, users, 5, block_rows=rows).collect()))
 
 
 def test_fit_bias_default_point(spark, sf_dir):
