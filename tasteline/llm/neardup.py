@@ -147,14 +147,16 @@ def _sets(docs: DataFrame, reps: DataFrame, ids: DataFrame, spec: JoinSpec) -> D
     return materialize(sets.dropDuplicates(["id"]), "neardup-sets")
 
 
-def _confirmed(docs: DataFrame, reps: DataFrame, pairs: DataFrame, spec: JoinSpec) -> DataFrame:
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
+
+
+def _confirmed(sets: DataFrame, pairs: DataFrame, spec: JoinSpec) -> DataFrame:
     """The pairs (a, b) whose whole shingle sets reach the threshold.
 
-    Only documents in some pair are shingled again, and each pair carries one set
-    to the other's partition; a partner of very many is split by adaptive joins.
+    Each pair carries one set to the other's partition; a partner of very many is
+    split by adaptive joins.
     """
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = _sets(docs, reps, ends, spec)
     half = pairs.join(sets.select(F.col("id").alias("b"), F.col("items").alias("set_b")), "b")
     whole = half.join(sets.select(F.col("id").alias("a"), F.col("items").alias("set_a")), "a")
     percent = spec.percent
@@ -302,37 +304,63 @@ def _chunk_links(percent: int, table: pa.Table) -> tuple[np.ndarray, np.ndarray]
     return np.minimum(a, b), np.maximum(a, b)
 
 
-def _near_common(docs: DataFrame, large: DataFrame, reps: DataFrame, spec: JoinSpec) -> tuple[DataFrame, DataFrame]:
-    """Links among the members of large nodes that are near their node's common set, and far members.
+# Members of a node whose tokens and shingles show what the node has in common.
+_SAMPLE = 33
+
+
+def _common_tokens(table: pa.Table) -> pa.Table:
+    """The most frequent token of a node's sample at each place."""
+    tokens = np.asarray(table.column("tokens").combine_chunks().flatten()).reshape(table.num_rows, -1)
+    modes = []
+    for column in tokens.T:
+        values, n = np.unique(column, return_counts=True)
+        modes.append(values[n.argmax()])
+    return pa.table({"key": table.column("key").slice(0, 1), "modes": pa.array([modes], pa.list_(pa.int32()))})
+
+
+def _drawn(members: DataFrame) -> DataFrame:
+    order = Window.partitionBy("key").orderBy(F.xxhash64("id"), "id")
+    return members.withColumn("r", F.row_number().over(order)).where(F.col("r") <= _SAMPLE).drop("r")
+
+
+def _likely_near(large: DataFrame, reps: DataFrame) -> DataFrame:
+    """(key, id): members of large nodes whose tokens may put them near the common set.
+
+    The bound lies below that of ``_difference_batches`` by more than four
+    deviations, for those that are not counted as far as well.
+    """
+    members = large.join(reps.select("id", "tokens"), "id").select("key", "id", "tokens")
+    modes = _drawn(members).groupBy("key").applyInArrow(_common_tokens, "key long, modes array<int>")
+    both = members.join(materialize(modes, "neardup-modes"), "key")
+    equal = F.size(F.filter(F.zip_with("tokens", "modes", lambda x, y: x == y), lambda x: x))
+    return both.where(equal >= 0.35 * F.size("tokens")).select("key", "id")
+
+
+def _near_links(near: DataFrame, sets: DataFrame, spec: JoinSpec) -> tuple[DataFrame, DataFrame]:
+    """Links among the members (key, id, label) near their node's common set, and the (key, id) surely not far.
 
     Branching does not part copies with few changes: they share nearly all tokens.
-    So each such node is compared with itself in chunks, a pair of chunks a task,
-    by exact sizes; links leave the task, candidates don't. Nodes of different
-    trees with the same least member are one.
+    So such members are compared with each other in chunks, a pair of chunks a
+    task, by exact sizes; links leave the task, candidates don't.
     """
-    least = large.groupBy("key").agg(F.min("id").alias("least"))
-    merged = large.join(least, "key").select(F.col("least").alias("key"), "id", "label", "n").distinct()
-    merged = materialize(merged, "neardup-large")
-    sets = _sets(docs, reps, merged.select("id").distinct(), spec)
-    sample = Window.partitionBy("key").orderBy(F.xxhash64("id"), "id")
-    drawn = merged.select("key", "id", F.row_number().over(sample).alias("r")).where("r <= 33").join(sets, "id")
-    common = drawn.select("key", "items").groupBy("key").applyInArrow(_common_set, "key long, common binary")
-    whole = merged.join(sets, "id").join(materialize(common, "neardup-common"), "key")
+    common = _drawn(near.select("key", "id")).join(sets, "id").select("key", "items")
+    common = materialize(common.groupBy("key").applyInArrow(_common_set, "key long, common binary"), "neardup-common")
+    whole = near.join(sets.select("id", "items", "n"), "id").join(common, "key")
     parted = map_batches(
         whole.select("key", "id", "label", "n", "items", "common"),
         lambda b: _difference_batches(spec, b),
         "key long, id long, label long, n long, near boolean, far boolean, delta binary",
     )
     parted = materialize(parted, "neardup-parted")
-    near = parted.where("near")
-    chunks = near.groupBy("key").agg(F.ceil(F.count("*") / F.lit(_CHUNK)).alias("chunks"))
-    cut = near.join(chunks, "key").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
+    inside = parted.where("near")
+    chunks = inside.groupBy("key").agg(F.ceil(F.count("*") / F.lit(_CHUNK)).alias("chunks"))
+    cut = inside.join(chunks, "key").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")
     sides = cut.select("key", "id", "label", "n", "delta", "chunk", other)
     key = F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("key")
     percent = spec.percent
     links = _paired(sides.select(key, "id", "label", "n", "delta", "chunk"), lambda t: _chunk_links(percent, t))
-    return links, parted.where("far").select(F.col("key").alias("least"), "id")
+    return links, parted.where("NOT far").select("key", "id")
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
@@ -341,18 +369,17 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return rows.join(sizes.where("lo < hi").select("key", "held"), "key")
 
 
-def _open_pairs(docs: DataFrame, members: DataFrame, reps: DataFrame, spec: JoinSpec) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs between different labels from all nodes of all trees, and links found in large ones."""
+def _open_pairs(members: DataFrame, settled: DataFrame, reps: DataFrame, spec: JoinSpec) -> DataFrame:
+    """Candidate pairs between different labels from all nodes of all trees.
+
+    Large nodes, named by their least member, go on without the members ``settled``.
+    """
     found = None
     rows = _mixed(members).join(reps.select("id", "n", "tokens"), "id")
     rows = materialize(rows, "neardup-nodes")
-    large = rows.where(F.col("held") > spec.leaf)
-    links, far = _near_common(docs, large.select("key", "id", "label", "n"), reps, spec)
-    links = materialize(links, "neardup-links")
-    # Large nodes go on with the members far from what the node has in common.
-    least = large.groupBy("key").agg(F.min("id").alias("least"))
-    strangers = large.join(least, "key").join(far, ["least", "id"], "left_semi").select(*rows.columns)
-    rows = rows.where(F.col("held") <= spec.leaf).unionByName(strangers)
+    gone = settled.select(F.col("key").alias("pivot"), "id")
+    large = rows.where(F.col("held") > spec.leaf).join(gone, ["pivot", "id"], "left_anti").select(*rows.columns)
+    rows = rows.where(F.col("held") <= spec.leaf).unionByName(large).drop("pivot")
     for level in range(spec.levels + 1):
         small = rows.where(F.col("held") <= spec.leaf).select("key", "id", "label", "n", "tokens")
         pairs = _paired(small, lambda t: _leaf_pairs(spec, t))
@@ -362,9 +389,9 @@ def _open_pairs(docs: DataFrame, members: DataFrame, reps: DataFrame, spec: Join
             # Nodes that no branching has made small: joined, with the filter inside the join.
             same = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
             rest = large.alias("x").join(large.alias("y"), same & _alike(spec, "x", "y"))
-            return found.union(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))).distinct(), links
+            return found.union(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))).distinct()
         if large.limit(1).count() == 0:
-            return found.distinct(), links
+            return found.distinct()
         at = F.col("tree") * (spec.levels * spec.branches) + spec.trees + level * spec.branches + F.col("c")
         child = large.withColumn("c", F.explode(F.array(*[F.lit(c) for c in range(spec.branches)])))
         child = child.withColumn("key", F.xxhash64("key", "c", F.get("tokens", at))).drop("c", "held")
@@ -415,14 +442,26 @@ def near_duplicates(docs: DataFrame, spec: JoinSpec) -> DataFrame:
         .select("a", "b")
     )
     near = materialize(near, "neardup-pivots")
-    links = materialize(_confirmed(slim, reps, near, spec), "neardup-links")
+    # Large nodes of different trees with the same least member are one.
+    large = members.join(sizes.where(F.col("held") > spec.leaf).select("key"), "key", "left_semi")
+    large = materialize(large.select(F.col("pivot").alias("key"), "id").distinct(), "neardup-large")
+    likely = materialize(_likely_near(large, reps), "neardup-likely")
+
+    sets = _sets(slim, reps, _ends(near).union(likely.select("id")).distinct(), spec)
+    links = materialize(_confirmed(sets, near, spec), "neardup-links")
+    labels = components(links)
+    label = F.coalesce("label", "id").alias("label")
+    inside = _mixed(likely.join(labels, "id", "left").select("key", "id", label)).drop("held")
+    inside, settled = _near_links(inside, sets.join(reps.select("id", "n"), "id"), spec)
+    links = links.union(materialize(inside, "neardup-links"))
     labels = components(links)
 
-    labelled = members.join(labels, "id", "left").select("key", "tree", "id", F.coalesce("label", "id").alias("label"))
-    open_pairs, inside = _open_pairs(slim, labelled, reps, spec)
-    open_pairs = materialize(open_pairs.join(near, ["a", "b"], "left_anti"), "neardup-open")
-    more = materialize(_confirmed(slim, reps, open_pairs, spec), "neardup-links")
-    labels = components(links.union(inside).union(more))
+    labelled = members.join(labels, "id", "left").select("key", "tree", "id", "pivot", label)
+    open_pairs = _open_pairs(labelled, settled, reps, spec).join(near, ["a", "b"], "left_anti")
+    open_pairs = materialize(open_pairs, "neardup-open")
+    sets = _sets(slim, reps, _ends(open_pairs).distinct(), spec)
+    more = materialize(_confirmed(sets, open_pairs, spec), "neardup-links")
+    labels = components(links.union(more))
 
     # Classes to components, then rows to classes; each row's own set names its class.
     owner = classes.join(labels, "id", "left").select("fp1", "fp2", "n", F.coalesce("label", "id").alias("component_id"))
