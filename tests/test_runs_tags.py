@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tasteline.functions.labels import MAP_TAGS
+from tasteline.functions.labels import MAP_TAGS, log_name
 from tasteline.operators import runs, tags
 from tasteline.session import scratch_path
 from tasteline.sources import runlog, tables
@@ -63,7 +63,7 @@ def test_bias_log(spark, log_dir):
 
 
 def test_records_as_text_and_back(spark):
-    rows = [(0, 100.0, 1.0, 1.0, 5.0, 0.0125, 30.5, 20.25, 4.0, 6.25), (1, 200.0, 10.0, 80.0, 10.0, 1e-05, 1.0, 0.5, 0.25, 0.25)]
+    rows = [(0, 100.0, 1.0, 1.0, 5.0, 10, 10, 0.0125, 30.5, 20.25, 4.0, 6.25), (1, 200.0, 10.0, 80.0, 10.0, 8, 4, 1e-05, 1.0, 0.5, 0.25, 0.25)]
     df = spark.createDataFrame(rows, runlog.ALS_SCHEMA)
     path = scratch_path(spark, "text")
     lines = df.select(F.lit("stats_1_0").alias("log"), runlog.als_line().alias("value"))
@@ -72,7 +72,13 @@ def test_records_as_text_and_back(spark):
     )
     runlog.write_logs(lines, path)
     back = runs.parse_als_runs(runlog.read_logs(spark, path))
-    assert bag(back.drop("series")) == bag(df.drop("run_no"))
+    assert bag(back.drop("series")) == bag(df.drop("run_no", "User_blocks", "Item_blocks"))
+
+
+def test_last_name_in_a_path_counts(spark):
+    paths = ["/data/stats_logs/stats_0_25.txt", "/stats_a/log=stats_1_0/part-0.txt", "stats_lenskit_0_01.txt"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string").select(log_name(F.col("p")))
+    assert [r[0] for r in df.collect()] == ["stats_0_25", "stats_1_0", "stats_lenskit_0_01"]
 
 
 def test_broken_record_fails(spark):
