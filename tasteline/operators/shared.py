@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from tasteline.operators.skew import heavy_keys, top_k
 from tasteline.operators.toplists import collect_best
 
 HEADROOM = 4096
+# Rows of common lists sent to all executors at once; more runs are worked off in turn.
+MOST_BROADCAST = 100_000
 _SCORES = ["run_no", "track_index", "rating"]
 _STEP = 1000
 
@@ -31,6 +35,10 @@ def recommend_shared(
     are shuffled, never a (user, track) candidate. Users with more than
     ``headroom`` seen tracks are served from the whole order, see below.
     """
+    chunks = _run_chunks(runs, k if seen is None else k + headroom)
+    if len(chunks) > 1:
+        parts = [recommend_shared(_of_runs(scores, c), users, k, c, seen, headroom) for c in chunks]
+        return reduce(DataFrame.unionByName, parts)
     users = _spread(users)
     light, light_seen, heavy, heavy_seen = _by_seen(users, seen, headroom)
     head = _head(scores, k if seen is None else k + headroom)
@@ -75,6 +83,10 @@ def shared_hits(
     a search over many runs moves seen and truth places only, not k entries per
     user and run.
     """
+    chunks = _run_chunks(runs, k + headroom)
+    if len(chunks) > 1:
+        parts = [shared_hits(_of_runs(scores, c), users, truth, k, c, seen, headroom) for c in chunks]
+        return reduce(DataFrame.unionByName, parts)
     users = _spread(users)
     light, light_seen, heavy, heavy_seen = _by_seen(users, seen, headroom)
     head = _head(scores, k + headroom)
@@ -116,6 +128,16 @@ def shared_hits(
     return hits.select(*columns).unionByName(deep.select(*columns))
 
 
+def _run_chunks(runs: list[int], length: int) -> list[list[int]]:
+    """Runs in chunks whose common lists of ``length`` tracks may be broadcast together."""
+    step = max(1, MOST_BROADCAST // length)
+    return [runs[i : i + step] for i in range(0, len(runs), step)]
+
+
+def _of_runs(scores: DataFrame, runs: list[int]) -> DataFrame:
+    return scores.where(F.col("run_no").isin(runs))
+
+
 def _tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

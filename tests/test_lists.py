@@ -244,3 +244,19 @@ def test_shared_lists_without_scores_beyond_head(spark):
         got = lists(shared.recommend_shared(scores, users, 3, [0], seen, headroom))
         assert [t for t, _ in got[(1,)]] == [6, 10, 1]
         assert [t for t, _ in got[(2,)]] == [3, 7, 11]
+
+
+def test_runs_in_chunks_give_the_same(spark, plays, monkeypatch):
+    """Common lists too long to be broadcast together are worked off in turn."""
+    df, _ = plays
+    users = spark.createDataFrame([(u,) for u in range(40)], "user_index int")
+    truth_df = spark.createDataFrame([(u, 1, [u, 59 - u]) for u in range(30)], "user_index int, first int, tracks array<int>")
+    model = bias.fit_bias(df, *[bias.BiasPoint(True, False, float(d)) for d in range(5)])
+
+    def results():
+        hits = bias.bias_hits(model, users, truth_df, 7, df, 20)
+        return lists(bias.recommend_bias(model, users, 7, df, 20), "run_no"), sorted(map(str, hits.collect()))
+
+    together = results()
+    monkeypatch.setattr(shared, "MOST_BROADCAST", 60)
+    assert results() == together
