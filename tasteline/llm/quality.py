@@ -30,17 +30,18 @@ MOST_BROADCAST = 20_000
 class OutlierSpec:
     """Parameters of the outlier rule.
 
-    ``cutoff`` bounds the squared distance after the median distance of the group
-    is set to that of a chi-square with five degrees of freedom. ``floors`` are
-    the least standard deviations of the transformed statistics: spreads below
-    them count as equal, so a group in which nearly all documents agree in a
-    statistic doesn't reject the others for a small difference. Groups of fewer
-    than ``least_rows`` documents are pooled by language, then all together; if
-    even those are too few, no document is an outlier.
+    ``cutoff`` bounds the squared distance: the 0.999 quantile of a chi-square
+    with five degrees of freedom. ``floors`` are lower bounds of the standard
+    deviations of the transformed statistics, given those before them. They only
+    take the place of a smaller spread: in a group whose nearest half agrees in a
+    statistic, a small difference rejects no document. Groups of fewer than
+    ``least_rows`` documents are pooled by language, then all together; if even
+    those are too few, they are judged by the estimate of all rows. Only where all
+    rows are too few is no document an outlier.
     """
 
-    cutoff: float = 400.0
-    floors: tuple[float, ...] = (0.5, 0.1, 0.05, 0.1, 0.1)
+    cutoff: float = 20.515
+    floors: tuple[float, ...] = (0.1, 0.1, 0.05, 0.1, 0.1)
     least_rows: int = 50
     steps: int = 5
 
@@ -133,8 +134,8 @@ def _transformed() -> dict[str, Column]:
     }
 
 
-def _grouped(rows: DataFrame, least: int) -> DataFrame:
-    """Add the group whose estimates judge a row, null where all are too few."""
+def _grouped(rows: DataFrame, least: int) -> tuple[DataFrame, bool]:
+    """Add the group whose estimates judge a row, null where all are too few; whether all rows judge those."""
     by = F.struct(F.col("lang").alias("lang"), F.col("source").alias("source"), F.lit(0).alias("level"))
     table = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
     pooled = Window.partitionBy("lang")
@@ -142,7 +143,8 @@ def _grouped(rows: DataFrame, least: int) -> DataFrame:
     table = table.withColumn("n1", F.sum(F.when(few, F.col("n"))).over(pooled))
     small = few & (F.col("n1") < least)
     # The rest of all languages.
-    rest = table.where(small).agg(F.sum("n").alias("n")).first()["n"] or 0
+    sums = table.agg(F.sum(F.when(small, F.col("n"))).alias("rest"), F.sum("n").alias("all")).first()
+    rest = sums["rest"] or 0
     none = F.lit(None).cast("string")
     group = (
         F.when(~few, by)
@@ -153,7 +155,7 @@ def _grouped(rows: DataFrame, least: int) -> DataFrame:
     keys = keys.select("lang", "source", F.when(~F.col("none"), F.col("grp")).alias("grp"))
     keys = materialize(keys, "quality-groups")
     same = F.col("r.lang").eqNullSafe(F.col("k.lang")) & F.col("r.source").eqNullSafe(F.col("k.source"))
-    return rows.alias("r").join(keys.alias("k"), same, "left").select("r.*", "k.grp")
+    return rows.alias("r").join(keys.alias("k"), same, "left").select("r.*", "k.grp"), 0 < rest < least <= sums["all"]
 
 
 def _joined(rows: DataFrame, table: DataFrame, groups: int) -> DataFrame:
@@ -177,7 +179,10 @@ def _medians(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _factor(moments: DataFrame, spec: OutlierSpec) -> DataFrame:
-    """Means ``m0..`` and Cholesky factor ``l00..`` of the covariances ``c00..`` of each group."""
+    """Means ``m0..`` and Cholesky factor ``l00..`` of the covariances ``c00..`` of each group.
+
+    ``f0..`` tell which diagonal entries are the floor, for want of a spread.
+    """
     for i in range(P):
         floor = F.lit((spec.floors[i] * _SCALE) ** 2)
         for j in range(i + 1):
@@ -185,26 +190,35 @@ def _factor(moments: DataFrame, spec: OutlierSpec) -> DataFrame:
             for k in range(j):
                 dot = dot + F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             if i == j:
-                value = F.sqrt(F.greatest(F.col(f"c{i}{i}") + floor - dot, floor))
+                left = F.col(f"c{i}{i}") - dot
+                moments = moments.withColumn(f"f{i}", left <= floor)
+                value = F.sqrt(F.greatest(left, floor))
             else:
                 value = (F.col(f"c{i}{j}") - dot) / F.col(f"l{j}{j}")
             moments = moments.withColumn(f"l{i}{j}", value)
-    kept = [f"m{i}" for i in range(P)] + [f"l{i}{j}" for i in range(P) for j in range(i + 1)]
+    kept = [f"{x}{i}" for x in "mf" for i in range(P)] + [f"l{i}{j}" for i in range(P) for j in range(i + 1)]
     return moments.select("grp", *kept)
 
 
 def _distances(rows: DataFrame, shape: DataFrame, groups: int) -> DataFrame:
-    """Squared Mahalanobis distance ``d2`` of each row under its group's estimate."""
+    """Squared Mahalanobis distance of each row under its group's estimate.
+
+    ``d2`` is its whole, ``spread2`` the part on the ``axes`` that have a spread
+    of their own.
+    """
     out = _joined(rows, shape, groups)
     for i in range(P):
         dot = F.col(FEATURES[i]) - F.col(f"m{i}")
         for k in range(i):
             dot = dot - F.col(f"l{i}{k}") * F.col(f"y{k}")
         out = out.withColumn(f"y{i}", dot / F.col(f"l{i}{i}"))
-    total = F.lit(0.0)
+    total, own, axes = F.lit(0.0), F.lit(0.0), F.lit(0)
     for i in range(P):
-        total = total + F.col(f"y{i}") * F.col(f"y{i}")
-    return out.select(*rows.columns, total.alias("d2"))
+        square = F.col(f"y{i}") * F.col(f"y{i}")
+        total = total + square
+        own = own + F.when(F.col(f"f{i}"), 0.0).otherwise(square)
+        axes = axes + F.when(F.col(f"f{i}"), 0).otherwise(1)
+    return out.select(*rows.columns, total.alias("d2"), own.alias("spread2"), axes.alias("axes"))
 
 
 def _bin(d2: Column) -> Column:
@@ -260,8 +274,11 @@ def _start(rows: DataFrame, groups: int, spec: OutlierSpec) -> DataFrame:
     return materialize(_factor(both.select("grp", *means, *spread), spec), "quality-shape")
 
 
-# Fixed value: median of a chi-square with five degrees of freedom.
-_CHI_MEDIAN = 4.351
+# Medians of chi-squares with one to five degrees of freedom.
+_CHI_MEDIANS = (0.4549, 1.3863, 2.3660, 3.3567, 4.3515)
+
+# Fixed value: the group of all rows, which judges groups that are too small.
+_ALL = 0
 
 
 def judge(stats: DataFrame, spec: OutlierSpec) -> DataFrame:
@@ -270,9 +287,11 @@ def judge(stats: DataFrame, spec: OutlierSpec) -> DataFrame:
     The minimum-covariance-determinant estimate of each language and source comes
     from concentration steps that start at medians and median deviations; each
     step moves to a half of the group of lower determinant. Rows that fail the base rules take no
-    part in it. ``distance`` is the squared Mahalanobis distance scaled by the
-    group's median; null for rows that fail the base rules and where all groups
-    are too small. Input columns of these names are replaced. Null languages and sources are groups of their own.
+    part in it. ``distance`` is the squared Mahalanobis distance, of which the part
+    on axes with a spread is scaled so that its median is that of a chi-square with
+    as many degrees of freedom (the nearest half alone has too small a spread). It
+    is null for rows that fail the base rules and for rows without a group of their
+    own, whose ``kept`` follows from the estimate of all rows. Input columns of these names are replaced. Null languages and sources are groups of their own.
     """
     out = ("base_failed", "distance", "kept")
     rows = stats.select(
@@ -285,18 +304,28 @@ def judge(stats: DataFrame, spec: OutlierSpec) -> DataFrame:
     )
     rows = materialize(rows, "quality-stats")
     plain = rows.where(~F.col("base_failed")).select("_id", "lang", "source", *[c.alias(n) for n, c in _transformed().items()])
-    grouped = materialize(_grouped(plain, spec.least_rows), "quality-rows")
-    inside = grouped.where(F.col("grp").isNotNull()).select("_id", "grp", *FEATURES)
+    placed, leftover = _grouped(plain, spec.least_rows)
+    grouped = materialize(placed, "quality-rows")
+    judged = F.col("grp").isNotNull()
+    inside = grouped.where(judged).select("_id", "grp", F.lit(True).alias("judges"), *FEATURES)
+    if leftover:
+        inside = inside.union(grouped.select("_id", F.lit(_ALL).cast("long"), ~judged, *FEATURES))
     groups = inside.select("grp").distinct().count()
     shape = _start(inside, groups, spec)
     for _ in range(spec.steps):
         shape = _concentrate(inside, shape, groups, spec)
     near = materialize(_distances(inside, shape, groups), "quality-distances")
-    middle = _medians(near.select("grp", _bin(F.col("d2")).alias("bin")), ["bin"])
-    scale = middle.select("grp", (F.exp((F.col("bin") + 1) / F.lit(float(_BINS_PER_LOG))) / _CHI_MEDIAN).alias("scale"))
+    spread = near.where("axes > 0").select("grp", "axes", _bin(F.col("spread2")).alias("bin"))
+    middle = _medians(spread, ["bin"]).join(spread.groupBy("grp").agg(F.first("axes").alias("axes")), "grp")
+    median = F.element_at(F.array(*map(F.lit, _CHI_MEDIANS)), F.col("axes"))
+    scale = middle.select("grp", (F.exp((F.col("bin") + 0.5) / F.lit(float(_BINS_PER_LOG))) / median).alias("scale"))
+    # Groups without a spread on any axis need no scale.
+    scale = near.select("grp").distinct().join(scale, "grp", "left").select("grp", F.coalesce("scale", F.lit(1.0)).alias("scale"))
     scale = materialize(scale, "quality-scale")
-    scaled = _joined(near, scale, groups).select("_id", (F.col("d2") / F.greatest(F.col("scale"), F.lit(1.0))).alias("distance"))
-    kept = ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= spec.cutoff)
+    total = F.col("d2") - F.col("spread2") + F.col("spread2") / F.col("scale")
+    scaled = _joined(near.where("judges"), scale, groups).select("_id", "grp", total.alias("total"))
+    scaled = scaled.select("_id", "total", F.when(F.col("grp") != _ALL, F.col("total")).alias("distance"))
+    kept = ~F.col("base_failed") & (F.coalesce(F.col("total"), F.lit(0.0)) <= spec.cutoff)
     return rows.join(scaled, "_id", "left").select("row.*", "base_failed", "distance", kept.alias("kept"))
 
 

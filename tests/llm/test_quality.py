@@ -70,3 +70,45 @@ def test_odd_documents(spark, odd_docs, no_docs):
     assert quality_report(no_docs, OutlierSpec()).count() == 0
     stats = text_stats(odd_docs.withColumn("grp", F.lit(1)).withColumn("kept", F.lit("x")))
     assert set(judge(stats, OutlierSpec()).columns) == {*odd_docs.columns, *STATS, "grp", "kept", "base_failed", "distance"}
+
+
+def test_planted_on_each_feature(spark):
+    """One odd statistic is enough; clean documents stay, also in groups too small for an estimate of their own."""
+    rng = random.Random(5)
+    vocab = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(5000)]
+
+    def prose(n):
+        return [rng.choice(vocab) for _ in range(n)]
+
+    def size():
+        return int(rng.lognormvariate(5.3, 0.35)) + 20
+
+    def symbols():
+        w = prose(200)
+        return " ".join(x + "$" if i % 10 == 0 else x for i, x in enumerate(w))
+
+    def lines():
+        w = prose(200)
+        return "\n".join("ok" if i % 2 else " ".join(w[2 * i : 2 * i + 7]) for i in range(90))
+
+    def repeats():
+        w = prose(160)
+        return " ".join(w + w[:20])
+
+    odd = [
+        lambda: " ".join(prose(6000)),
+        lambda: " ".join(x * 3 for x in prose(200)),
+        symbols,
+        lines,
+        repeats,
+    ]
+    rows = [(i, " ".join(prose(size())), "en", "s1", False) for i in range(400)]
+    rows += [(400 + i, " ".join(prose(size())), "en", f"small{i}", False) for i in range(10)]
+    rows += [(500 + i, make(), "en", "s1", True) for i, make in enumerate(odd)]
+    rows += [(600 + i, make(), "en", f"tiny{i}", True) for i, make in enumerate(odd)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, odd boolean")
+    got = {r.doc_id: r for r in quality_report(docs, OutlierSpec()).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert [i for i, _, _, _, planted in rows if planted and got[i].kept] == []
+    # Of clean documents the cutoff leaves out one in a thousand.
+    assert sum(not got[i].kept for i, _, _, _, planted in rows if not planted) <= 2
