@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tasteline.llm import contamination, fmindex, licenses, lm, mixing, neardup, quality, sharding, suffixes, warc
+from tasteline.llm import (
+    contamination,
+    fmindex,
+    licenses,
+    lm,
+    maintext,
+    merkle,
+    mixing,
+    neardup,
+    quality,
+    sharding,
+    suffixes,
+    warc,
+)
 
 SHARDS = 24
 SEED = 20240917
@@ -60,6 +73,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.main_text(_table(spark, sf_dir, "pages"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -77,6 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_lm_scores,
         op9_repeated_strings,
         op10_decontamination,
+        op11_main_text,
+        op13_merkle_manifest,
         pipeline,
     )
 }
