@@ -16,6 +16,7 @@ from tasteline.llm import (
     merkle,
     mixing,
     neardup,
+    periodic,
     quality,
     sharding,
     suffixes,
@@ -77,6 +78,10 @@ def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintext.main_text(_table(spark, sf_dir, "pages"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_report(_table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_report(_table(spark, sf_dir, "documents"))
 
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_repeated_strings,
         op10_decontamination,
         op11_main_text,
+        op12_periodic_runs,
         op13_merkle_manifest,
         pipeline,
     )
