@@ -92,7 +92,7 @@ def _verdict(tag: str, attrs: dict[str, str]) -> int:
 
 def _step(tag: str, attrs: dict[str, str]) -> str:
     """One step of a generalised path: the tag and its classes, in order, runs of digits as one sign."""
-    classes = sorted({re.sub(r"[^\w-]", "_", re.sub(r"\d+", "#", c)) for c in attrs.get("class", "").split()})
+    classes = sorted({re.sub(r"\d+", "#", re.sub(r"[^\w-]", "_", c)) for c in attrs.get("class", "").split()})
     return ".".join([re.sub(r"[^\w:-]", "_", tag), *classes])
 
 
