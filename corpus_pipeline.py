@@ -1,8 +1,8 @@
 """From raw documents to a shuffled, sharded training mix.
 
-Each stage reads what the one before has written. Rows that share a doc_id are
-one document: near-duplicate removal keeps one of them. Rows without doc_id have
-no group and stay. Nulls, empty texts and empty tables are handled as each
+Each stage reads what the one before has written. Near-duplicate removal goes by
+text, so of rows that share a doc_id each different text has its own group. Rows
+without doc_id have no group and stay. Nulls, empty texts and empty tables are handled as each
 operator says.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tasteline.llm import contamination, mixing, neardup, quality, sharding
@@ -31,11 +31,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group linked by five-word shingles at a similarity of 0.8."""
-    found = neardup.near_duplicates(docs, neardup.JoinSpec(words=5, percent=80))
-    ids = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    named = docs.join(ids, "doc_id", "left_semi").withColumn("__n", F.row_number().over(one)).where("__n = 1")
-    return named.select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    return neardup.one_of_each(docs, neardup.JoinSpec(words=5, percent=80))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tasteline.llm.components import components
 from tasteline.llm.ship import map_batches
 from tasteline.llm.spans import LOWER, Block, blocks, mix64, prefix_hash, range_hash, split_words
+from tasteline.llm.text import SPACE
 from tasteline.session import materialize
 
 
@@ -99,12 +100,13 @@ def _sign_batches(spec: JoinSpec, batches: Iterator[pa.RecordBatch]) -> Iterator
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(block.lo, block.hi - block.lo),
+                    batch.column("text_key").slice(block.lo, block.hi - block.lo),
                     pa.array(np.diff(first)),
                     pa.array(one),
                     pa.array(two),
                     pa.ListArray.from_arrays(places, pa.array(tokens.reshape(-1))),
                 ],
-                names=["doc_id", "n", "fp1", "fp2", "tokens"],
+                names=["doc_id", "text_key", "n", "fp1", "fp2", "tokens"],
             )
 
 
@@ -140,9 +142,9 @@ def _confirm_batches(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterato
 
 
 def _sets(docs: DataFrame, reps: DataFrame, ids: DataFrame, spec: JoinSpec) -> DataFrame:
-    """(id, items): whole shingle sets of the classes ``ids``, shingled again from their texts."""
-    asked = ids.join(reps.select("id", "fp1"), "id")
-    asked = docs.join(asked, docs["doc_id"] == asked["id"]).select("id", "fp1", "text")
+    """(id, items): whole shingle sets of the classes ``ids``, shingled again from the text of one row each."""
+    asked = reps.select("id", "fp1", "doc_id", "text_key").join(ids, "id", "left_semi")
+    asked = docs.join(asked, ["doc_id", "text_key"]).select("id", "fp1", "text")
     sets = map_batches(asked, lambda b: _set_batches(spec, b), "id long, items binary")
     return materialize(sets.dropDuplicates(["id"]), "neardup-sets")
 
@@ -223,256 +225,257 @@ def _paired(rows: DataFrame, pairs_of: PairFn) -> DataFrame:
     return map_batches(dealt, lambda b: _paired_batches(pairs_of, b), "a long, b long")
 
 
-def _common_set(table: pa.Table) -> pa.Table:
-    """The shingles that more than half of a node's sample have."""
-    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("items")]
-    items, n = np.unique(np.concatenate(sets), return_counts=True)
-    common = items[2 * n > len(sets)].tobytes()
-    return pa.table({"key": table.column("key").slice(0, 1), "common": pa.array([common], pa.binary())})
+# Members of a node, and shingles of theirs, compared at once with as many others; columns of a product.
+_CHUNK = 1024
+_CHUNK_ITEMS = 1 << 20
+_SLAB = 2048
+# Members of a large node that every other one is compared with before the node is cut or branched.
+_PIVOTS = 4
 
 
-def _difference_batches(spec: JoinSpec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How each member of a node differs from the node's common set, and whether it is near or far.
-
-    Similarities to a third set differ by no more than 1 - s between documents of
-    similarity s. So with bounds as far apart as that, both ends of a link are
-    near, or both are far.
-    """
-    low = 0.5
-    high = low + 1 - spec.percent / 100
-    for batch in batches:
-        near, far, delta = [], [], []
-        for x, y in zip(batch.column("items"), batch.column("common")):
-            own, common = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            apart = np.setxor1d(own, common, assume_unique=True)
-            both = (len(own) + len(common) - len(apart)) / 2
-            alike = both / (len(own) + len(common) - both)
-            near.append(alike >= low)
-            far.append(alike < high + 1e-9)
-            delta.append(apart.tobytes() if alike >= low else None)
-        yield pa.RecordBatch.from_arrays(
-            [
-                *[batch.column(c) for c in ("key", "id", "label", "n")],
-                pa.array(near, pa.bool_()), pa.array(far, pa.bool_()), pa.array(delta, pa.binary()),
-            ],
-            names=["key", "id", "label", "n", "near", "far", "delta"],
-        )
+def _overlaps(items: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Exact sizes of the intersections of the sets ``left`` with the sets ``right``."""
 
+    def flat(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.repeat(np.arange(len(rows)), [len(items[r]) for r in rows]), np.concatenate([items[r] for r in rows])
 
-# Members of a node compared at once with as many others, and columns of a product.
-_CHUNK = 1024
-_SLAB = 2048
+    sides = flat(left), flat(right)
+    shared = np.intersect1d(sides[0][1], sides[1][1])
+    overlap = np.zeros((len(left), len(right)), dtype=np.float32)
+    for s in range(0, len(shared), _SLAB):
+        some = shared[s : s + _SLAB]
+        ones = []
+        for (owner, values), n in zip(sides, overlap.shape):
+            at = np.searchsorted(some, values)
+            known = some[np.minimum(at, len(some) - 1)] == values
+            side = np.zeros((n, len(some)), dtype=np.float32)
+            side[owner[known], at[known]] = 1
+            ones.append(side)
+        overlap += ones[0] @ ones[1].T
+    return overlap.astype(np.int64)
+
+
+def _forest(linked: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(row, column) of links that connect whatever the links of a table connect, one less than it has ends at most."""
+    rows, columns = np.ones(linked.shape[0], dtype=bool), np.ones(linked.shape[1], dtype=bool)
+    for start in np.flatnonzero(linked.any(axis=1)):
+        if not rows[start]:
+            continue
+        rows[start] = False
+        todo = [(int(start), True)]
+        while todo:
+            at, is_row = todo.pop()
+            new = np.flatnonzero(linked[at] & columns if is_row else linked[:, at] & rows)
+            (columns if is_row else rows)[new] = False
+            for other in new.tolist():
+                yield (at, other) if is_row else (other, at)
+                todo.append((other, not is_row))
 
 
 def _chunk_links(percent: int, table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Links between two chunks of a node, one for each pair of labels.
+    """Confirmed links between two chunks of a node (or one and itself), as many as connect what they connect.
 
-    Members stand for their whole sets by the shingles in which they differ from
-    the node's common set; what two of them don't share is what their differences
-    don't share, so sizes of intersection and union are exact.
+    Whole sets are compared, by products of zeros and ones; members of one label
+    are connected already.
     """
-    ids, labels, n = (table.column(c).to_numpy() for c in ("id", "label", "n"))
-    deltas = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("delta")]
-    size = np.array([len(d) for d in deltas])
-    chunk = table.column("chunk").to_numpy()
-    left, right = np.flatnonzero(chunk == chunk.min()), np.flatnonzero(chunk == chunk.max())
+    ids, labels, n, chunk = (table.column(c).to_numpy() for c in ("id", "label", "n", "chunk"))
     if len(np.unique(labels)) == 1:
         return ids[:0], ids[:0]
-    owner = np.repeat(np.arange(len(ids)), size)
-    items = np.concatenate(deltas)
-    in_left, in_right = np.isin(owner, left), np.isin(owner, right)
-    shared = np.intersect1d(items[in_left], items[in_right])
-    overlap = np.zeros((len(left), len(right)), dtype=np.float32)
-    for s in range(0, len(shared), _SLAB):
-        some = shared[s : s + _SLAB]
-        sides = []
-        for rows, inside in ((left, in_left), (right, in_right)):
-            at = np.searchsorted(some, items[inside])
-            known = some[np.minimum(at, len(some) - 1)] == items[inside]
-            side = np.zeros((len(rows), len(some)), dtype=np.float32)
-            side[np.searchsorted(rows, owner[inside][known]), at[known]] = 1
-            sides.append(side)
-        overlap += sides[0] @ sides[1].T
-    apart = size[left][:, None] + size[right][None, :] - 2 * overlap.astype(np.int64)
-    whole = n[left][:, None] + n[right][None, :]
-    linked = (100 * (whole - apart) >= percent * (whole + apart)) & (labels[left][:, None] != labels[right][None, :])
-    i, j = np.nonzero(linked)
-    a, b = left[i], right[j]
-    first = np.minimum(labels[a], labels[b]), np.maximum(labels[a], labels[b])
-    _, one = np.unique(np.stack(first), axis=1, return_index=True)
-    a, b = ids[a[one]], ids[b[one]]
+    items = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("items")]
+    left, right = np.flatnonzero(chunk == chunk.min()), np.flatnonzero(chunk == chunk.max())
+    both = _overlaps(items, left, right)
+    either = n[left][:, None] + n[right][None, :] - both
+    linked = (100 * both >= percent * either) & (labels[left][:, None] != labels[right][None, :])
+    found = np.array(list(_forest(linked)), dtype=np.int64).reshape(-1, 2)
+    a, b = ids[left[found[:, 0]]], ids[right[found[:, 1]]]
     return np.minimum(a, b), np.maximum(a, b)
 
 
-# Members of a node whose tokens and shingles show what the node has in common.
-_SAMPLE = 33
-
-
-def _common_tokens(table: pa.Table) -> pa.Table:
-    """The most frequent token of a node's sample at each place."""
-    tokens = np.asarray(table.column("tokens").combine_chunks().flatten()).reshape(table.num_rows, -1)
-    modes = []
-    for column in tokens.T:
-        values, n = np.unique(column, return_counts=True)
-        modes.append(values[n.argmax()])
-    return pa.table({"key": table.column("key").slice(0, 1), "modes": pa.array([modes], pa.list_(pa.int32()))})
-
-
-def _drawn(members: DataFrame) -> DataFrame:
+def _drawn(members: DataFrame, n: int) -> DataFrame:
     order = Window.partitionBy("key").orderBy(F.xxhash64("id"), "id")
-    return members.withColumn("r", F.row_number().over(order)).where(F.col("r") <= _SAMPLE).drop("r")
+    return members.withColumn("r", F.row_number().over(order)).where(F.col("r") <= n).drop("r")
 
 
-def _likely_near(large: DataFrame, reps: DataFrame) -> DataFrame:
-    """(key, id): members of large nodes whose tokens may put them near the common set.
+def _node_links(members: DataFrame, sets: DataFrame, spec: JoinSpec) -> DataFrame:
+    """Links (a, b) that connect all members (key, id, label) of a node which whole sets link.
 
-    The bound lies below that of ``_difference_batches`` by more than four
-    deviations, for those that are not counted as far as well.
+    Every member is compared with every one of another label. A label of very many
+    members has chunks of its own, and no two of one label meet; so a group that is
+    connected but for a few costs these few times all, not the square. A pair of
+    chunks is one task; what leaves it is confirmed and fewer than its members.
     """
-    members = large.join(reps.select("id", "tokens"), "id").select("key", "id", "tokens")
-    modes = _drawn(members).groupBy("key").applyInArrow(_common_tokens, "key long, modes array<int>")
-    both = members.join(materialize(modes, "neardup-modes"), "key")
-    equal = F.size(F.filter(F.zip_with("tokens", "modes", lambda x, y: x == y), lambda x: x))
-    return both.where(equal >= 0.35 * F.size("tokens")).select("key", "id")
-
-
-def _near_links(near: DataFrame, sets: DataFrame, spec: JoinSpec) -> tuple[DataFrame, DataFrame]:
-    """Links among the members (key, id, label) near their node's common set, and the (key, id) surely not far.
-
-    Branching does not part copies with few changes: they share nearly all tokens.
-    So such members are compared with each other in chunks, a pair of chunks a
-    task, by exact sizes; links leave the task, candidates don't.
-    """
-    common = _drawn(near.select("key", "id")).join(sets, "id").select("key", "items")
-    common = materialize(common.groupBy("key").applyInArrow(_common_set, "key long, common binary"), "neardup-common")
-    whole = near.join(sets.select("id", "items", "n"), "id").join(common, "key")
-    parted = map_batches(
-        whole.select("key", "id", "label", "n", "items", "common"),
-        lambda b: _difference_batches(spec, b),
-        "key long, id long, label long, n long, near boolean, far boolean, delta binary",
+    whole = materialize(members.join(sets.select("id", "items"), "id").withColumn("n", F.octet_length("items") / 8), "neardup-whole")
+    slim = whole.select("key", "label", F.col("n").cast("long").alias("n"))
+    labels = slim.groupBy("key", "label").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    own = (F.col("c") >= _CHUNK) | (F.col("s") >= _CHUNK_ITEMS)
+    labels = materialize(labels.withColumn("part", F.when(own, F.col("label"))), "neardup-labels")
+    size = F.greatest(F.sum("c") / _CHUNK, F.sum("s") / _CHUNK_ITEMS)
+    parts = labels.groupBy("key", "part").agg(F.ceil(size).alias("chunks"))
+    parts = materialize(parts, "neardup-parts")
+    chunk = F.xxhash64("key", "part", "c").alias("chunk")
+    listed = parts.withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    listed = materialize(listed.select("key", "part", chunk), "neardup-chunks")
+    x, y = listed.alias("x"), listed.alias("y")
+    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.chunk") <= F.col("y.chunk"))
+    apart = F.col("x.part").isNull() | F.col("y.part").isNull() | (F.col("x.part") != F.col("y.part"))
+    pairs = x.join(y, meet & apart).select(
+        F.xxhash64("x.chunk", "y.chunk").alias("pair"), F.array_distinct(F.array("x.chunk", "y.chunk")).alias("of")
+    )
+    places = pairs.select("pair", F.explode("of").alias("chunk")).groupBy("chunk").agg(F.collect_list("pair").alias("pairs"))
+    places = materialize(places, "neardup-places")
+    named = whole.join(labels.select("key", "label", "part"), ["key", "label"])
+    same = (F.col("key") == F.col("k")) & F.col("part").eqNullSafe(F.col("p"))
+    named = named.join(parts.select(F.col("key").alias("k"), F.col("part").alias("p"), "chunks"), same)
+    named = named.withColumn("c", F.pmod(F.xxhash64("id"), F.col("chunks"))).withColumn("chunk", F.xxhash64("key", "part", "c"))
+    sides = named.join(places, "chunk").select(
+        F.explode("pairs").alias("key"), "id", "label", F.col("n").cast("long").alias("n"), "chunk", "items"
     )
-    parted = materialize(parted, "neardup-parted")
-    inside = parted.where("near")
-    chunks = inside.groupBy("key").agg(F.ceil(F.count("*") / F.lit(_CHUNK)).alias("chunks"))
-    cut = inside.join(chunks, "key").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")
-    sides = cut.select("key", "id", "label", "n", "delta", "chunk", other)
-    key = F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("key")
     percent = spec.percent
-    links = _paired(sides.select(key, "id", "label", "n", "delta", "chunk"), lambda t: _chunk_links(percent, t))
-    return links, parted.where("NOT far").select("key", "id")
+    return _paired(sides, lambda t: _chunk_links(percent, t))
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
     """Rows of nodes that hold documents of different labels, with the node's size."""
     sizes = rows.groupBy("key").agg(F.count("*").alias("held"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    return rows.join(sizes.where("lo < hi").select("key", "held"), "key")
+    sizes = materialize(sizes.where("lo < hi").select("key", "held"), "neardup-sizes")
+    return rows.join(sizes, "key")
 
 
-def _open_pairs(members: DataFrame, settled: DataFrame, reps: DataFrame, spec: JoinSpec) -> DataFrame:
-    """Candidate pairs between different labels from all nodes of all trees.
+def _connected_nodes(members: DataFrame, spec: JoinSpec) -> DataFrame:
+    """(key, pivot) of large nodes of which one label has half of the members or more, but not all."""
+    labels = members.groupBy("key", "pivot", "label").agg(F.count("*").alias("c"))
+    nodes = labels.groupBy("key", "pivot").agg(F.sum("c").alias("held"), F.max("c").alias("most"))
+    return nodes.where((F.col("held") > spec.leaf) & (2 * F.col("most") >= F.col("held")) & (F.col("most") < F.col("held")))
 
-    Large nodes, named by their least member, go on without the members ``settled``.
-    """
+
+def _branched(members: DataFrame, reps: DataFrame, spec: JoinSpec) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a, b) from small nodes of all trees, and the members (key, id, label) of nodes that stay large."""
+    rows = materialize(_mixed(members).join(reps.select("id", "n", "tokens"), "id"), "neardup-nodes")
     found = None
-    rows = _mixed(members).join(reps.select("id", "n", "tokens"), "id")
-    rows = materialize(rows, "neardup-nodes")
-    gone = settled.select(F.col("key").alias("pivot"), "id")
-    large = rows.where(F.col("held") > spec.leaf).join(gone, ["pivot", "id"], "left_anti").select(*rows.columns)
-    rows = rows.where(F.col("held") <= spec.leaf).unionByName(large).drop("pivot")
     for level in range(spec.levels + 1):
         small = rows.where(F.col("held") <= spec.leaf).select("key", "id", "label", "n", "tokens")
         pairs = _paired(small, lambda t: _leaf_pairs(spec, t))
         found = pairs if found is None else found.union(pairs)
         large = rows.where(F.col("held") > spec.leaf)
-        if level == spec.levels:
-            # Nodes that no branching has made small: joined, with the filter inside the join.
-            same = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
-            rest = large.alias("x").join(large.alias("y"), same & _alike(spec, "x", "y"))
-            return found.union(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))).distinct()
-        if large.limit(1).count() == 0:
-            return found.distinct()
+        if level == spec.levels or large.limit(1).count() == 0:
+            return materialize(found.distinct(), "neardup-open"), large.select("key", "id", "label")
         at = F.col("tree") * (spec.levels * spec.branches) + spec.trees + level * spec.branches + F.col("c")
         child = large.withColumn("c", F.explode(F.array(*[F.lit(c) for c in range(spec.branches)])))
         child = child.withColumn("key", F.xxhash64("key", "c", F.get("tokens", at))).drop("c", "held")
-        rows = materialize(_mixed(child), "neardup-nodes")
+        rows = materialize(_mixed(materialize(child, "neardup-children")), "neardup-nodes")
     raise AssertionError
 
 
-def near_duplicates(docs: DataFrame, spec: JoinSpec) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
+def text_key() -> Column:
+    """What tells rows of one doc_id but different texts apart."""
+    return F.xxhash64("text")
 
-    Texts are lower-cased (A-Z) and cut into words by ASCII white space; a set has
-    the distinct shingles of ``spec.words`` words, of fewer words the whole
-    sequence. Equal sets form one class before anything is compared. First every
-    class of a node is compared with the node's least one, whole sets deciding;
-    that joins large groups of copies by as many comparisons as they have members.
-    Then all pairs that are still apart are compared inside small nodes; of large
-    ones, members near the node's common set are compared in chunks and the
-    others branched. ``kept`` marks the least doc_id of each component.
 
-    Null and wordless texts have no shingles and are linked with nothing. Rows
-    without doc_id are linked with nothing and kept, their component null. Rows
-    that share a doc_id count as one document. Other columns are ignored; an
-    empty frame gives an empty one.
-    """
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = map_batches(slim, lambda b: _sign_batches(spec, b), "doc_id long, n long, fp1 long, fp2 long, tokens array<int>"
-    )
-    signed = materialize(signed, "neardup-signed")
+def text_components(docs: DataFrame, spec: JoinSpec) -> DataFrame:
+    """(doc_id, text_key, n, component_id) of every row of ``docs``; see ``near_duplicates``."""
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_key", text_key())
+    schema = "doc_id long, text_key long, n long, fp1 long, fp2 long, tokens array<int>"
+    signed = materialize(map_batches(slim, lambda b: _sign_batches(spec, b), schema), "neardup-signed")
     usable = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = usable.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("id"))
-    # One class per id, also where rows share a doc_id.
-    first = materialize(classes.groupBy("id").agg(F.min(F.struct("fp1", "fp2", "n")).alias("c")), "neardup-classes")
-    first = first.select("id", "c.*")
-    tokens = usable.select(F.col("doc_id").alias("id"), "fp1", "fp2", "tokens")
-    reps = materialize(first.join(tokens, ["id", "fp1", "fp2"]).dropDuplicates(["id"]), "neardup-reps")
+    # Classes of equal sets have numbers of their own, whatever ids their rows share.
+    one = F.struct("doc_id", "text_key", "tokens")
+    reps = usable.groupBy("fp1", "fp2", "n").agg(F.min_by(one, F.struct("doc_id", "text_key")).alias("one"))
+    reps = reps.select("fp1", "fp2", "n", "one.*").withColumn("id", F.monotonically_increasing_id())
+    reps = materialize(reps, "neardup-reps")
 
     roots = reps.select("id", F.posexplode(F.slice("tokens", 1, spec.trees)).alias("tree", "token"))
     roots = roots.select("id", "tree", F.xxhash64("tree", "token").alias("key"))
     sizes = roots.groupBy("key").agg(F.count("*").alias("held"), F.min("id").alias("pivot")).where("held > 1")
-    members = materialize(roots.join(sizes.select("key", "pivot"), "key"), "neardup-members")
+    sizes = materialize(sizes, "neardup-roots")
+    members = materialize(roots.join(sizes, "key"), "neardup-members")
 
     slim_reps = reps.select("id", "n", "tokens")
-    pairs = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    # Large nodes of different trees with the same least member are one here.
+    large = members.where(F.col("held") > spec.leaf).select(F.col("pivot").alias("key"), "id").distinct()
+    large = materialize(large, "neardup-large")
+    stars = materialize(_drawn(large, _PIVOTS).select("key", F.col("id").alias("a")), "neardup-pivots")
+    stars = large.join(stars, "key").select("a", F.col("id").alias("b"))
+    pairs = members.select(F.col("pivot").alias("a"), F.col("id").alias("b")).union(stars)
+    pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     near = (
         pairs.join(slim_reps.alias("y"), F.col("b") == F.col("y.id"))
         .join(slim_reps.alias("x"), F.col("a") == F.col("x.id"))
         .where(_alike(spec, "x", "y"))
         .select("a", "b")
     )
-    near = materialize(near, "neardup-pivots")
-    # Large nodes of different trees with the same least member are one.
-    large = members.join(sizes.where(F.col("held") > spec.leaf).select("key"), "key", "left_semi")
-    large = materialize(large.select(F.col("pivot").alias("key"), "id").distinct(), "neardup-large")
-    likely = materialize(_likely_near(large, reps), "neardup-likely")
-
-    sets = _sets(slim, reps, _ends(near).union(likely.select("id")).distinct(), spec)
-    links = materialize(_confirmed(sets, near, spec), "neardup-links")
+    near = materialize(near, "neardup-stars")
+    links = _confirmed(_sets(slim, reps, _ends(near).distinct(), spec), near, spec)
+    links = materialize(links, "neardup-links")
     labels = components(links)
+
+    # Nodes that are mostly connected by now are compared as a whole, all others branched.
     label = F.coalesce("label", "id").alias("label")
-    inside = _mixed(likely.join(labels, "id", "left").select("key", "id", label)).drop("held")
-    inside, settled = _near_links(inside, sets.join(reps.select("id", "n"), "id"), spec)
-    links = links.union(materialize(inside, "neardup-links"))
+    members = members.join(labels, "id", "left").select("key", "tree", "id", "pivot", label)
+    members = materialize(members, "neardup-labelled")
+    done = materialize(_connected_nodes(members, spec).select("key", "pivot"), "neardup-connected")
+    inside = large.join(done.select(F.col("pivot").alias("key")).distinct(), "key", "left_semi").join(labels, "id", "left")
+    inside = inside.select("key", "id", label)
+    rest = members.join(done.select("key"), "key", "left_anti").select("key", "tree", "id", "label")
+    open_pairs, unparted = _branched(rest, reps, spec)
+    open_pairs = materialize(open_pairs.join(near, ["a", "b"], "left_anti"), "neardup-open")
+    nodes = materialize(inside.unionByName(unparted), "neardup-whole-nodes")
+    sets = _sets(slim, reps, _ends(open_pairs).union(nodes.select("id")).distinct(), spec)
+    links = links.union(materialize(_confirmed(sets, open_pairs, spec), "neardup-links"))
+    links = links.union(materialize(_node_links(nodes, sets, spec), "neardup-links"))
     labels = components(links)
 
-    labelled = members.join(labels, "id", "left").select("key", "tree", "id", "pivot", label)
-    open_pairs = _open_pairs(labelled, settled, reps, spec).join(near, ["a", "b"], "left_anti")
-    open_pairs = materialize(open_pairs, "neardup-open")
-    sets = _sets(slim, reps, _ends(open_pairs).distinct(), spec)
-    more = materialize(_confirmed(sets, open_pairs, spec), "neardup-links")
-    labels = components(links.union(more))
-
-    # Classes to components, then rows to classes; each row's own set names its class.
-    owner = classes.join(labels, "id", "left").select("fp1", "fp2", "n", F.coalesce("label", "id").alias("component_id"))
+    # Classes to components, these to their least doc_id, then rows to classes by their own sets.
+    owner = reps.join(labels, "id", "left").select("fp1", "fp2", "n", "doc_id", label)
+    owner = materialize(owner, "neardup-owners")
+    least = materialize(owner.groupBy("label").agg(F.min("doc_id").alias("component_id")), "neardup-least")
+    owner = owner.drop("doc_id").join(least, "label").drop("label")
     lone = signed.where((F.col("n") == 0) | F.col("doc_id").isNull())
-    placed = usable.select("doc_id", "n", "fp1", "fp2").join(owner, ["fp1", "fp2", "n"])
-    out = placed.select("doc_id", "n", "component_id").union(
-        lone.select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    placed = usable.select("doc_id", "text_key", "n", "fp1", "fp2").join(owner, ["fp1", "fp2", "n"])
+    return placed.select("doc_id", "text_key", "n", "component_id").union(
+        lone.select("doc_id", "text_key", "n", F.col("doc_id").alias("component_id"))
     )
-    return out.select(
+
+
+def near_duplicates(docs: DataFrame, spec: JoinSpec) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
+
+    Texts are lower-cased (A-Z) and cut into words by ASCII white space; a set has
+    the distinct shingles of ``spec.words`` words, of fewer words the whole
+    sequence. Equal sets form one class before anything is compared. First every
+    class of a node is compared with the node's least one, in large nodes with a
+    few more, whole sets deciding; that connects large groups of copies by a
+    number of comparisons in proportion to their members. Large nodes that are
+    mostly connected by then are compared as a whole, but for members that are
+    connected already. The others are branched; all pairs that are still apart are
+    compared inside small nodes, and in those that no branching makes small.
+    ``kept`` marks the least doc_id of each component.
+
+    Null and wordless texts have no shingles and are linked with nothing. Rows
+    without doc_id are linked with nothing and kept, their component null. Rows
+    that share a doc_id are compared by their own texts, each in its own
+    component. Other columns are ignored; an empty frame gives an empty one.
+    """
+    return text_components(docs, spec).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, spec: JoinSpec) -> DataFrame:
+    """The rows of ``docs`` without near copies: one row of each component, and all that are linked with nothing.
+
+    Of a component the row with the least doc_id stays; of rows that share it, one
+    by the hash of its text; of equal ones, any one. Rows without doc_id or
+    without words all stay.
+    """
+    found = text_components(docs, spec).where("doc_id IS NOT NULL AND n > 0")
+    first = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_key")).alias("one")).select("one.*")
+    first = materialize(first.toDF("__id", "__key"), "neardup-kept")
+    marked = docs.withColumns({"__doc": F.col("doc_id").cast("long"), "__text": text_key()})
+    kept = marked.join(first, (F.col("__doc") == F.col("__id")) & (F.col("__text") == F.col("__key")), "left_semi")
+    one = Window.partitionBy("__doc", "__text").orderBy(F.xxhash64(*docs.columns))
+    kept = kept.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(*docs.columns)
+    wordless = F.coalesce(F.btrim("text", F.lit(SPACE)), F.lit("")) == ""
+    return kept.union(docs.where(F.col("doc_id").isNull() | wordless))
