@@ -9,6 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tasteline.operators.numbering import number_rows
+from tasteline.session import materialize
+
 # Rows of either side in a block, and pairs to leave out in a pair of blocks.
 BLOCK_ROWS = 16_384
 BLOCK_PAIRS = 4_000_000
@@ -29,66 +32,130 @@ def top_matches(
     (id, rating) in falling order, equal ratings by rising id. Pairs in
     ``taken`` (id, other) are left out, and the next best ones move up.
 
-    Both sides are hashed into blocks of about ``block_rows`` rows. Each pair of
-    blocks is one group: a matrix product and a partial top-k, so that only k
-    entries per row and block leave a task. Taken pairs are cut by both blocks
-    too, so a row with very many of them is spread like everything else. Ratings
-    are summed in double, dimension after dimension, so they and the order don't
-    depend on the blocks. Null features fail the job.
+    The right side is cut into blocks of ``block_rows`` rows by falling length of
+    the vectors, and worked off in waves of ever more blocks. After a wave a row's
+    k-th rating is a bound: a block whose longest vector, times the row's own, is
+    below it is not scored for that row, and no lesser rating leaves a task. So
+    about k entries a row and wave move, whatever the number of blocks. A pair of
+    a left and a right block is one group: a matrix product and a partial top-k.
+    Taken pairs are cut by both blocks too, so a row with very many of them is
+    spread like everything else. Ratings are summed in double, dimension after
+    dimension, so they and the order don't depend on the blocks. Null features
+    fail the job.
     """
-    n_left, n_right = left.count(), right.count()
-    n_taken = 0 if taken is None else taken.count()
-    right_blocks = max(1, -(-n_right // block_rows))
-    wanted_tasks = 2 * left.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, -(-right.count() // block_rows))
+    if blocks == 1:
+        whole = right.select("id", "features", F.lit(0).cast("long").alias("_block"))
+        cut = None if taken is None else taken.select("id", "other", F.lit(0).cast("long").alias("_block"))
+        return _partial(left.withColumn("_bound", _no_bound()), whole, cut, (0, 1), [None], k, block_rows)
+    longest = [F.col("_norm").desc(), F.col("id")]
+    right = number_rows(right.withColumn("_norm", _norm("features")), longest, "topk-right", "_place")
+    right = right.withColumn("_block", F.floor(F.col("_place") / block_rows))
+    # One number per block of right rows.
+    norms = [r["m"] for r in right.groupBy("_block").agg(F.max("_norm").alias("m")).orderBy("_block").collect()]
+    left = materialize(left, "topk-left")
+    if taken is not None:
+        place = right.select(F.col("id").alias("other"), "_block")
+        taken = materialize(taken.select("id", "other").join(place, "other").select("id", "other", "_block"), "topk-taken")
+    lists, first, last = None, 0, 1
+    while True:
+        rows = left.withColumn("_bound", _no_bound()) if lists is None else left.join(lists.select("id", "_bound"), "id", "left")
+        found = _partial(rows, right, taken, (first, last), norms, k, block_rows)
+        lists = _merged(found, lists, k)
+        if last == blocks:
+            return lists.select("id", "matches")
+        lists = materialize(lists, "topk-lists")
+        first, last = last, min(blocks, last * _GROWTH)
+
+
+# Blocks that are done after a wave, as a multiple of those before it.
+_GROWTH = 4
+
+
+def _no_bound() -> Column:
+    return F.lit(None).cast("double")
+
+
+def _norm(features: str) -> Column:
+    return F.sqrt(F.aggregate(features, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
+
+
+def _merged(found: DataFrame, lists: DataFrame | None, k: int) -> DataFrame:
+    """(id, matches, _bound): the k best of a row's lists, and its k-th rating (null while there are fewer)."""
+    if lists is not None:
+        found = found.unionByName(lists.select("id", "matches"))
+    merged = F.sort_array(F.transform(F.flatten(F.collect_list("matches")), lambda m: F.struct(-m["rating"], m["id"])))
+    joined = found.groupBy("id").agg(F.slice(merged, 1, k).alias("_m"))
+    back = F.transform("_m", lambda m: F.struct(m["id"].alias("id"), (-m["col1"]).alias("rating")))
+    out = joined.select("id", back.alias("matches"))
+    return out.withColumn("_bound", F.get("matches", F.lit(k - 1))["rating"])
+
+
+def _partial(
+    rows: DataFrame,
+    right: DataFrame,
+    taken: DataFrame | None,
+    wave: tuple[int, int],
+    norms: list[float | None],
+    k: int,
+    block_rows: int,
+) -> DataFrame:
+    """(id, matches) of each row and each block of a wave that can hold one of its k best."""
+    first, last = wave
+    n_rows = rows.count()
+    n_taken = 0 if taken is None else taken.where(F.col("_block").between(first, last - 1)).count()
+    wanted_tasks = 2 * rows.sparkSession.sparkContext.defaultParallelism
     left_blocks = max(
-        -(-n_left // block_rows),
-        -(-n_taken // (BLOCK_PAIRS * right_blocks)),
-        min(-(-wanted_tasks // right_blocks), n_left // _MIN_ROWS),
+        -(-n_rows // block_rows),
+        -(-n_taken // (BLOCK_PAIRS * (last - first))),
+        min(-(-wanted_tasks // (last - first)), n_rows // _MIN_ROWS),
         1,
     )
+    left_block = F.pmod(F.hash("id"), F.lit(left_blocks))
 
-    def block_of(column: str, n: int) -> Column:
-        return F.pmod(F.hash(column), F.lit(n))
-
-    def numbered(left_block: Column, right_block: Column) -> Column:
-        return (left_block * right_blocks + right_block).alias("_block")
+    def numbered(left: Column, block: Column) -> Column:
+        return (left * (last - first) + block - first).cast("int").alias("_block")
 
-    each_left = F.explode(F.sequence(F.lit(0), F.lit(left_blocks - 1)))
-    each_right = F.explode(F.sequence(F.lit(0), F.lit(right_blocks - 1)))
     no_ids, no_features = F.lit(None).cast("array<int>"), F.lit(None).cast("array<float>")
-    rows = left.withColumn("_r", each_right).select(
-        numbered(block_of("id", left_blocks), F.col("_r")), "id", "features", no_ids.alias("_taken")
+    until = F.lit(last)
+    if first:
+        # Lengths fall from block to block, so what can't be reached is the tail.
+        own = _norm("features") * (1 + 1e-9)
+        reach = F.size(F.filter(F.lit(norms[first:last]), lambda m: m * own >= F.col("_bound")))
+        until = F.when(F.col("_bound").isNull(), F.lit(last)).otherwise(first + reach)
+    each = F.when(until > first, F.sequence(F.lit(first), until - 1))
+    dealt = rows.select("id", "features", "_bound", F.explode(each).alias("_b")).select(
+        numbered(left_block, F.col("_b")), "id", "features", "_bound", no_ids.alias("_taken")
     )
     if taken is not None:
         cut = (
-            taken.select("id", "other", block_of("other", right_blocks).alias("_r"))
-            .groupBy("id", "_r")
+            taken.where(F.col("_block").between(first, last - 1))
+            .groupBy("id", "_block")
             .agg(F.collect_set("other").alias("_taken"))
             .select(
-                numbered(block_of("id", left_blocks), F.col("_r")), "id", no_features.alias("features"), "_taken"
+                numbered(left_block, F.col("_block")),
+                "id",
+                no_features.alias("features"),
+                _no_bound().alias("_bound"),
+                "_taken",
             )
         )
-        rows = rows.unionByName(cut)
-    others = right.withColumn("_l", each_left).select(
-        numbered(F.col("_l"), block_of("id", right_blocks)), F.col("id").alias("other"), "features"
+        dealt = dealt.unionByName(cut)
+    others = right.where(F.col("_block").between(first, last - 1))
+    others = others.withColumn("_l", F.explode(F.sequence(F.lit(0), F.lit(left_blocks - 1)))).select(
+        numbered(F.col("_l"), F.col("_block")), F.col("id").alias("other"), "features"
     )
     # The groups are heavy to work on but small in bytes; one task for each block
     # keeps them from being merged by size or meeting in one partition by hash.
-    tasks, block = left_blocks * right_blocks, F.col("_block").cast("int")
+    tasks, block = left_blocks * (last - first), F.col("_block")
     best = (
-        rows.repartitionById(tasks, block)
+        dealt.repartitionById(tasks, block)
         .groupBy("_block")
         .cogroup(others.repartitionById(tasks, block).groupBy("_block"))
         .applyInArrow(_rank_block(k), "id int, other array<int>, rating array<double>")
     )
     matches = F.arrays_zip(F.col("other").alias("id"), F.col("rating")).cast("array<struct<id:int,rating:double>>")
-    best = best.select("id", matches.alias("matches"))
-    if right_blocks == 1:
-        return best
-    merged = F.sort_array(F.transform(F.flatten(F.collect_list("matches")), lambda m: F.struct(-m["rating"], m["id"])))
-    joined = best.groupBy("id").agg(F.slice(merged, 1, k).alias("_m"))
-    back = F.transform("_m", lambda m: F.struct(m["id"].alias("id"), (-m["col1"]).alias("rating")))
-    return joined.select("id", back.alias("matches"))
+    return best.select("id", matches.alias("matches"))
 
 
 def _matrix(features: pa.ChunkedArray) -> np.ndarray:
@@ -120,6 +187,8 @@ def _rank_block(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         left_ids = scored.column("id").to_numpy().astype(np.int32)
         order = np.argsort(left_ids)
         left_ids, left = left_ids[order], _matrix(scored.column("features"))[order]
+        bound = scored.column("_bound").to_numpy().astype(np.float64)[order]
+        bound[np.isnan(bound)] = -np.inf
         row, place = _places(left_ids, ids, cut)
         # A single-precision product is off by less than this; the chosen are summed again.
         error = 4 * right.shape[1] * np.finfo(np.float32).eps * np.linalg.norm(right, axis=1).max()
@@ -131,9 +200,11 @@ def _rank_block(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             scores = part @ right.T
             own = slice(*np.searchsorted(row, [start, start + step]))
             scores[row[own] - start, place[own]] = -np.inf
-            least = np.partition(scores, n - keep, axis=1)[:, n - keep]
+            floor = bound[start : start + step]
+            least = np.maximum(np.partition(scores, n - keep, axis=1)[:, n - keep], floor)
             near = np.nonzero((scores >= (least - slack[start : start + step])[:, None]) & (scores > -np.inf))
             ratings = _exact(part[near[0]], right[near[1]])
+            near, ratings = tuple(x[ratings >= floor[near[0]]] for x in near), ratings[ratings >= floor[near[0]]]
             by = np.lexsort((near[1], -ratings, near[0]))
             at = near[0][by]
             first = np.arange(len(at)) - np.searchsorted(at, at) < keep

@@ -36,13 +36,15 @@ FRACTION = 0.25
 SMALL_FRACTION = 0.05
 DAMPING = 10.0
 MAP_TYPES = ["STANDARD", "ECONOMY", "PROMO"]
-MAP_ROWS = 200
-GIVEN_BLOCK_ROWS = 512
+MAP_ROWS = 4_000
+GIVEN_BLOCK_ROWS = 4096
 
 _WORKSPACES: dict[tuple[str, str], str] = {}
 _BIAS_LOGS: dict[str, str] = {}
+_METADATA: dict[str, str] = {}
 _ALS_RUNS: dict[str, str] = {}
 _LOGS: dict[str, str] = {}
+_METADATA: dict[str, str] = {}
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> str:
@@ -486,17 +488,27 @@ def popularity_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Tag map
 
 
+def _metadata(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The song table and the table of artists' tags, written once per workspace."""
+    path = workspace(spark, sf_dir)
+    if path not in _METADATA:
+        folder = scratch_path(spark, "metadata")
+        starschema.tracks(spark, sf_dir).write.parquet(f"{folder}/tracks")
+        starschema.artist_tags(spark, sf_dir).write.parquet(f"{folder}/artist_tags")
+        _METADATA[path] = folder
+    folder = _METADATA[path]
+    return tables.load_tracks(spark, f"{folder}/tracks"), tables.load_artist_tags(spark, f"{folder}/artist_tags")
+
+
 def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tags.tag_embedding(
-        starschema.tracks(spark, sf_dir),
-        starschema.artist_tags(spark, sf_dir),
-        prepare.track_encoding(spark, workspace(spark, sf_dir)),
-        starschema.factors(spark, sf_dir),
-    )
+    """All tracks with a tag, their codes and a given vector each."""
+    codes = prepare.track_encoding(spark, workspace(spark, sf_dir))
+    vectors = starschema.whole_factors(spark, sf_dir, codes.select(F.col("track_index").alias("id")))
+    return tags.tag_embedding(*_metadata(spark, sf_dir), codes, vectors)
 
 
 def artist_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tags.one_tag_per_artist(starschema.artist_tags(spark, sf_dir))
+    return tags.one_tag_per_artist(_metadata(spark, sf_dir)[1])
 
 
 def tag_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -513,7 +525,7 @@ def tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def n_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = tags.encode_tags(
         prepare.track_encoding(spark, workspace(spark, sf_dir)),
-        tags.tracks_with_tag(starschema.tracks(spark, sf_dir), starschema.artist_tags(spark, sf_dir)),
+        tags.tracks_with_tag(*_metadata(spark, sf_dir)),
     )
     return tags.n_tags(coded)
 

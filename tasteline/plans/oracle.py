@@ -163,7 +163,12 @@ runs AS (
   FROM lineitem),
 sliced AS (SELECT * FROM runs WHERE "Reg" = 1 AND "Alpha" = 1 AND "Maxiter" = 5)"""
 
-_TAGGED = f"""{_CODES},
+_VECTORS = """
+vec AS (
+  SELECT vec_id, list_transform(embedding, lambda x: round(CAST(x AS DOUBLE) * 64)) AS e, count(*) OVER () AS n
+  FROM embeddings)"""
+
+_TAGGED = f"""{_CODES}, {_VECTORS},
 artist_tags AS (SELECT DISTINCT p_brand AS artist_id, p_type AS mbtag FROM part),
 one_tag AS (
   SELECT artist_id, mbtag FROM (
@@ -175,8 +180,8 @@ coded AS (
   JOIN (SELECT {_padded('T', 'p_partkey')} AS track_id, p_brand AS artist_id FROM part) p USING (track_id)
   JOIN one_tag o USING (artist_id)),
 tagged AS (
-  SELECT coded.*, CAST(vec_id AS INTEGER) AS id, embedding AS features
-  FROM coded JOIN embeddings ON vec_id = track_index)"""
+  SELECT coded.*, track_index AS id, e AS features
+  FROM coded JOIN vec ON vec_id = track_index % n)"""
 
 _TAG_LIST = ", ".join(f"'{t}'" for t in MAP_TYPES)
 _TAG_CASE = " ".join(f"WHEN '{t}' THEN '{i}_{t}'" for i, t in enumerate(MAP_TYPES))
@@ -186,11 +191,6 @@ _ALL_METRICS = """SELECT count(*) AS n_users, round(avg(precision_at_k), 6) AS p
        round(avg(map), 6) AS map, round(avg(map_at_k), 6) AS map_at_k, round(avg(ndcg_at_k), 6) AS ndcg_at_k
 FROM per_user"""
 
-_VECTORS = """
-vec AS (
-  SELECT vec_id, list_transform(embedding, lambda x: round(CAST(x AS DOUBLE) * 64)) AS e, count(*) OVER () AS n
-  FROM embeddings)"""
-
 _GIVEN = f"""{_ENC}, {_VECTORS},
 uvec AS (SELECT user_index, e FROM users JOIN vec ON vec_id = user_index % n),
 tvec AS (SELECT track_index, e FROM (SELECT DISTINCT track_index FROM train) JOIN vec ON vec_id = track_index % n)"""

@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tasteline.operators import als, bias, metrics, shared, skew, toplists
+from tasteline.operators import blocks as blocks_module
 from tasteline.operators.blocks import top_matches
 from tasteline.operators.numbering import number_rows
 from tasteline.plans import catalog
+from tasteline.session import materialize
 
 
 @pytest.fixture(scope="module")
@@ -191,6 +193,31 @@ def test_matches_with_ties(spark, vectors, block_rows, k, exclude):
         assert [(m["id"], m["rating"]) for m in row["matches"]] == [(j, -s) for s, j in ranked], row["id"]
 
 
+@pytest.mark.parametrize("blocks", [4, 100])
+def test_entries_per_row_stay_near_k(spark, monkeypatch, blocks):
+    """Lists that leave the tasks hold about k entries a row and wave, however many blocks there are."""
+    rng = np.random.default_rng(blocks)
+    k, rows = 10, 4000
+    left, right = rng.normal(size=(200, 6)).astype(np.float32), rng.normal(size=(rows, 6)).astype(np.float32)
+    right *= rng.pareto(2.0, size=(rows, 1)).astype(np.float32) + 0.1
+    schema = "id int, features array<float>"
+    frames = [spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], schema) for m in (left, right)]
+    moved, merged = [], blocks_module._merged
+
+    def counted(found, lists, k):
+        found = materialize(found, "found")
+        moved.append(found.agg(F.sum(F.size("matches"))).first()[0] or 0)
+        return merged(found, lists, k)
+
+    monkeypatch.setattr(blocks_module, "_merged", counted)
+    got = {r.id: [m["id"] for m in r.matches] for r in top_matches(*frames, k, block_rows=rows // blocks).collect()}
+    scores = left.astype(np.float64) @ right.astype(np.float64).T
+    assert got == {i: list(np.argsort(-s, kind="stable")[:k]) for i, s in enumerate(scores)}
+    assert len(moved) == (2 if blocks == 4 else 5)
+    # All blocks together would have moved k entries each.
+    assert sum(moved) <= 3 * k * len(left)
+
+
 def test_same_lists_as_the_model(spark, sf_dir):
     model = catalog._model(spark, sf_dir)
     users = catalog._users(spark, sf_dir)
