@@ -19,7 +19,7 @@ BIAS_LINE = (
 BIAS_FIELDS = ["items", "users", "damping", "Metric", "Time_TTL", "Time_fit", "Time_rec", "Time_evl"]
 BIAS_FLAGS = ["items", "users"]
 BIAS_PREFIX = "items"
-LOG_NAME = r".*(stats_[0-9A-Za-z_]+)"
+LOG_NAME = "stats_"
 MAP_TAGS = [
     "classical",
     "folk",
@@ -44,13 +44,19 @@ def line_values(line: Column, fields: list[str], flags: list[str]) -> Column:
 
 def log_name(path: Column) -> Column:
     """Log name in a path: the last file ``stats_0_25.txt`` or folder of such a name."""
-    return F.regexp_extract(path, LOG_NAME, 1)
+    rest = F.regexp_extract(F.substring_index(path, LOG_NAME, -1), "^[0-9A-Za-z_]*", 0)
+    return F.when((rest == "") | ~path.contains(LOG_NAME), "").otherwise(F.concat(F.lit(LOG_NAME), rest))
 
 
 def series_label(name: Column) -> Column:
     """``stats_0_25`` to ``spark 0.25``, ``stats_lenskit_1_0`` to ``lenskit 1.0``."""
-    named = F.regexp_replace(name, r"^stats_lenskit_([01])_", "lenskit $1.")
-    return F.regexp_replace(named, r"^stats_([01])_", "spark $1.")
+    out = name
+    for prefix, engine in (("stats_", "spark"), ("stats_lenskit_", "lenskit")):
+        for whole in "01":
+            start = f"{prefix}{whole}_"
+            rest = F.substring(name, len(start) + 1, F.length(name))
+            out = F.when(name.startswith(start), F.concat(F.lit(f"{engine} {whole}."), rest)).otherwise(out)
+    return out
 
 
 def ordered_tag(tag: Column, tags: list[str]) -> Column:

@@ -15,6 +15,7 @@ from tasteline.functions.labels import (
     series_label,
 )
 from tasteline.operators.skew import top_k
+from tasteline.session import materialize
 
 
 def keep_records(lines: DataFrame, prefix: str) -> DataFrame:
@@ -37,7 +38,8 @@ def parse_bias_runs(lines: DataFrame) -> DataFrame:
 
 
 def sort_runs(runs: DataFrame, *keys: str) -> DataFrame:
-    return runs.orderBy("series", *keys)
+    # A sort reads its input twice; the logs are parsed once.
+    return materialize(runs, "runs").orderBy("series", *keys)
 
 
 def slice_runs(
@@ -103,7 +105,8 @@ def series(
     picked = slice_runs(runs, reg, alpha, max_iter, max_rank)
     if engine is not None:
         picked = by_engine(picked, engine)
-    curve = picked.select("series", "Rank", metric)
+    # Sorting and skipping read the slice several times; the logs are parsed once.
+    curve = materialize(picked.select("series", "Rank", metric), "series")
     return skip_first(curve, skip, ["Rank"]).orderBy("series", "Rank", metric)
 
 

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasteline.operators.metrics import pair_lists, user_hits
 from tasteline.operators.numbering import number_rows
 from tasteline.operators.skew import heavy_keys, top_k
 from tasteline.operators.toplists import collect_best
+from tasteline.session import materialize
 
 HEADROOM = 4096
-# Rows of common lists sent to all executors at once; more runs are worked off in turn.
+# Rows of common lists sent to all executors; more are joined by shuffles, in the same plan.
 MOST_BROADCAST = 100_000
 _SCORES = ["run_no", "track_index", "rating"]
 _STEP = 1000
@@ -35,24 +34,21 @@ def recommend_shared(
     are shuffled, never a (user, track) candidate. Users with more than
     ``headroom`` seen tracks are served from the whole order, see below.
     """
-    chunks = _run_chunks(runs, k if seen is None else k + headroom)
-    if len(chunks) > 1:
-        parts = [recommend_shared(_of_runs(scores, c), users, k, c, seen, headroom) for c in chunks]
-        return reduce(DataFrame.unionByName, parts)
     users = _spread(users)
     light, light_seen, heavy, heavy_seen = _by_seen(users, seen, headroom)
-    head = _head(scores, k if seen is None else k + headroom)
+    length = k if seen is None else k + headroom
+    head = _head(scores, length, len(runs))
     entries = F.sort_array(F.collect_list(F.struct("pos", "track_index", "rating")))
     common = head.groupBy("run_no").agg(entries.alias("_e")).select(
         "run_no", F.col("_e.track_index").alias("_tracks"), F.col("_e.rating").alias("_ratings")
     )
     rows = _wanted(light, runs)
     if seen is not None:
-        rows = _repartitioned(rows.unionByName(_places(light_seen, light, head)))
+        rows = _repartitioned(rows.unionByName(_places(light_seen, light, head, len(runs) * length)))
     taken = rows.groupBy("run_no", "user_index").agg(F.collect_set("pos").alias("_taken"))
     places = F.sequence(F.lit(1), F.least(F.size("_tracks"), F.lit(k) + F.size("_taken")))
     left = F.slice(F.array_except(F.when(F.size("_tracks") > 0, places), F.col("_taken")), 1, k)
-    lists = taken.join(F.broadcast(common), "run_no").select(
+    lists = taken.join(_small(common, len(runs) * length), "run_no").select(
         "run_no",
         "user_index",
         F.transform(
@@ -83,22 +79,19 @@ def shared_hits(
     a search over many runs moves seen and truth places only, not k entries per
     user and run.
     """
-    chunks = _run_chunks(runs, k + headroom)
-    if len(chunks) > 1:
-        parts = [shared_hits(_of_runs(scores, c), users, truth, k, c, seen, headroom) for c in chunks]
-        return reduce(DataFrame.unionByName, parts)
     users = _spread(users)
     light, light_seen, heavy, heavy_seen = _by_seen(users, seen, headroom)
-    head = _head(scores, k + headroom)
+    size = len(runs) * (k + headroom)
+    head = _head(scores, k + headroom, len(runs))
     sizes = truth.groupBy("user_index").agg(F.sum(F.size(F.array_distinct("tracks"))).alias("n_truth"))
     true_rows = truth.select("user_index", F.explode("tracks").alias("track_index"))
     none = F.lit(None).cast("int")
     rows = (
         _wanted(light, runs)
-        .unionByName(_places(light_seen, light, head))
+        .unionByName(_places(light_seen, light, head, size))
         .withColumn("_true", none)
         .unionByName(
-            _places(true_rows, light, head).select(
+            _places(true_rows, light, head, size).select(
                 "user_index", "run_no", none.alias("pos"), F.col("pos").alias("_true")
             )
         )
@@ -110,14 +103,11 @@ def shared_hits(
         .agg(F.collect_set("pos").alias("_taken"), F.collect_set("_true").alias("_true"))
         .join(F.broadcast(lengths), "run_no")
     )
-    place = F.transform(
-        F.array_except("_true", "_taken"),
-        lambda p: (p - F.size(F.filter("_taken", lambda t: t < p))).cast("int"),
-    )
+    place = _places_left("_taken", "_true")
     hits = marked.select(
         "run_no",
         "user_index",
-        F.sort_array(F.filter(place, lambda p: p <= k)).alias("hits"),
+        F.filter(place, lambda p: p <= k).alias("hits"),
         F.least(F.lit(k), F.col("_length") - F.size("_taken")).cast("int").alias("n_predicted"),
     ).join(sizes, "user_index")
     columns = ["run_no", "user_index", "hits", "n_truth", "n_predicted"]
@@ -128,14 +118,27 @@ def shared_hits(
     return hits.select(*columns).unionByName(deep.select(*columns))
 
 
-def _run_chunks(runs: list[int], length: int) -> list[list[int]]:
-    """Runs in chunks whose common lists of ``length`` tracks may be broadcast together."""
-    step = max(1, MOST_BROADCAST // length)
-    return [runs[i : i + step] for i in range(0, len(runs), step)]
+def _places_left(taken: str, true: str) -> Column:
+    """Rising places that the ``true`` places have once the ``taken`` ones are out; those in both go too.
+
+    Both are sorted into one list, a true place as an odd number. The i-th entry
+    of the list that is the j-th true one has i - j taken ones before it, so one
+    sort does, whatever the lengths.
+    """
+    entries = F.sort_array(
+        F.concat(
+            F.transform(taken, lambda p: 2 * p.cast("long")),
+            F.transform(F.array_except(true, taken), lambda p: 2 * p.cast("long") + 1),
+        )
+    )
+    numbered = F.transform(entries, lambda x, i: F.struct(x.alias("x"), i.alias("i")))
+    odd = F.filter(numbered, lambda e: e["x"] % 2 == 1)
+    return F.transform(odd, lambda e, j: (F.shiftright(e["x"], 1) - (e["i"] - j)).cast("int"))
 
 
-def _of_runs(scores: DataFrame, runs: list[int]) -> DataFrame:
-    return scores.where(F.col("run_no").isin(runs))
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """A frame made of ``rows`` rows, broadcast if these are few, else left to the planner."""
+    return F.broadcast(df) if rows <= MOST_BROADCAST else df
 
 
 def _tasks(df: DataFrame) -> int:
@@ -171,21 +174,23 @@ def _by_seen(users: DataFrame, seen: DataFrame | None, headroom: int) -> tuple:
     )
 
 
-def _head(scores: DataFrame, length: int) -> DataFrame:
-    """The first ``length`` tracks of each run with their place."""
-    return top_k(scores.select(*_SCORES), ["run_no"], [F.desc("rating"), F.asc("track_index")], length)
+def _head(scores: DataFrame, length: int, runs: int) -> DataFrame:
+    """The first ``length`` tracks of each run with their place; written out if the runs are too many to broadcast."""
+    head = top_k(scores.select(*_SCORES), ["run_no"], [F.desc("rating"), F.asc("track_index")], length)
+    return head if runs * length <= MOST_BROADCAST else materialize(head, "shared-head")
 
 
 def _wanted(users: DataFrame, runs: list[int]) -> DataFrame:
     return users.select("user_index", F.explode(F.lit(runs)).alias("run_no"), F.lit(None).cast("int").alias("pos"))
 
 
-def _places(rows: DataFrame, users: DataFrame, head: DataFrame) -> DataFrame:
+def _places(rows: DataFrame, users: DataFrame, head: DataFrame, size: int) -> DataFrame:
     """(user_index, run_no, pos) of the users' rows found in the head of a run.
 
-    The head has a size fixed by the arguments, so it can be broadcast.
+    The head has a size fixed by the arguments; up to MOST_BROADCAST rows it is
+    broadcast, beyond them it is joined by track.
     """
-    found = rows.join(F.broadcast(head.select("run_no", "track_index", "pos")), "track_index")
+    found = rows.join(_small(head.select("run_no", "track_index", "pos"), size), "track_index")
     return found.join(users, "user_index", "left_semi").select("user_index", "run_no", "pos")
 
 

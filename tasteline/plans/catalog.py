@@ -397,7 +397,7 @@ def als_tune(spark: SparkSession, sf_dir: str) -> DataFrame:
     if path not in _ALS_RUNS:
         runs_path = scratch_path(spark, "runs")
         train, truth_rows, users = _encoded(spark, sf_dir).train, _truth(spark, sf_dir), _users(spark, sf_dir)
-        tune.tune_als(train, truth_rows, users, ALS_GRID, TOP, runs_path, model_path=f"{path}/als_best")
+        tune.tune_als(train, truth_rows, users, ALS_GRID, TOP, runs_path, f"{path}/als_best", at_once=3)
         _ALS_RUNS[path] = runs_path
     return runlog.load_runs(spark, _ALS_RUNS[path]).orderBy("run_no")
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import itertools
+import threading
 import time
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from tasteline.operators.bias import BiasPoint, bias_hits, fit_bias
 from tasteline.operators.metrics import mean_metrics, precision_at, precision_list, ranking_metrics, user_metrics
 from tasteline.session import discard, materialize
 from tasteline.sources.models import save_model
-from tasteline.sources.runlog import append_run
+from tasteline.sources.runlog import append_run, stored_runs
 
 
 def param_grid(*values: Iterable) -> list[tuple]:
@@ -42,51 +44,78 @@ def tune_als(
     exclude_seen: bool = False,
     list_precision: bool = False,
     blocks: tuple[int, int] = BLOCKS,
+    at_once: int = 1,
 ) -> list[dict]:
-    """Fit, recommend and score each point in turn; one record per point.
-
-    Each record is appended to ``runs_path`` when its point is done, so a broken
-    search keeps what it has. The model is saved when it is strictly better than
-    all before. ``list_precision`` divides by the length of the list, otherwise
-    by ``k``. Lists are written out before the clock for them is read: ``rec``
-    covers the scoring and ``evl`` the metric alone.
+    """Fit, recommend and score each point; one record per point, in the order of the grid.
+
+    Each record is written to ``runs_path`` when its point is done, and a point
+    that has a record there (same number, parameters and blocks) is not worked on
+    again, so a broken search goes on where it stopped. ``at_once`` points are in
+    flight together, each in a scheduler pool of its own; with the scheduler set
+    to FAIR (``spark.scheduler.mode``) they share the cores evenly. The saved
+    model is that of the best metric, of the first point among equals, whatever
+    order they finish in. ``list_precision`` divides by the length of the list,
+    otherwise by ``k``. Lists are written out before the clock for them is read:
+    ``rec`` covers the scoring and ``evl`` the metric alone; seconds of points in
+    flight together overlap.
     """
     spark = train.sparkSession
+    points = [_point(n, params, blocks) for n, params in enumerate(grid)]
+    stored = {r["run_no"]: r for r in stored_runs(spark, runs_path)}
+    records = {
+        n: stored[n] for n, point in enumerate(points) if n in stored and all(stored[n][c] == v for c, v in point.items())
+    }
+    todo = [n for n in range(len(grid)) if n not in records]
+    if not todo:
+        return [records[n] for n in range(len(grid))]
     train = train.select("user_index", "track_index", "count").persist(StorageLevel.MEMORY_AND_DISK)
-    records, best = [], None
+    writing = threading.Lock()
+
+    def work(run_no: int) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"search-{run_no % at_once}")
+        start = time.monotonic()
+        model = fit_als(train, grid[run_no], blocks)
+        fitted = time.monotonic()
+        recs = materialize(recommend(model, users, k, train if exclude_seen else None), "lists")
+        recommended = time.monotonic()
+        metric = _score(recs, truth, k, list_precision)
+        done = time.monotonic()
+        discard(recs)
+        times = (done - start, fitted - start, recommended - fitted, done - recommended)
+        names = ("Time_TTL", "Time_fit", "Time_rec", "Time_evl")
+        with writing:
+            # The model first: a search broken in between works on the point again.
+            better = all((metric, -run_no) > (r["Metric"], -n) for n, r in records.items())
+            if better and model_path is not None:
+                save_model(model, model_path)
+            records[run_no] = {**points[run_no], "Metric": metric, **dict(zip(names, times))}
+            append_run(spark, records[run_no], runs_path)
+
     try:
-        for run_no, params in enumerate(grid):
-            start = time.monotonic()
-            model = fit_als(train, params, blocks)
-            fitted = time.monotonic()
-            recs = materialize(recommend(model, users, k, train if exclude_seen else None), "lists")
-            recommended = time.monotonic()
-            metric = _score(recs, truth, k, list_precision)
-            done = time.monotonic()
-            discard(recs)
-            if best is None or metric > best:
-                best = metric
-                if model_path is not None:
-                    save_model(model, model_path)
-            record = {
-                "run_no": run_no,
-                "Rank": params.rank,
-                "Reg": params.reg,
-                "Alpha": params.alpha,
-                "Maxiter": params.max_iter,
-                "User_blocks": blocks[0],
-                "Item_blocks": blocks[1],
-                "Metric": metric,
-                "Time_TTL": done - start,
-                "Time_fit": fitted - start,
-                "Time_rec": recommended - fitted,
-                "Time_evl": done - recommended,
-            }
-            append_run(spark, record, runs_path)
-            records.append(record)
+        if at_once == 1:
+            for run_no in todo:
+                work(run_no)
+        else:
+            with ThreadPoolExecutor(at_once) as pool:
+                for task in [pool.submit(inheritable_thread_target(spark)(work), n) for n in todo]:
+                    task.result()
     finally:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
         train.unpersist()
-    return records
+    return [records[n] for n in range(len(grid))]
+
+
+def _point(run_no: int, params: AlsParams, blocks: tuple[int, int]) -> dict:
+    """What tells one point of a search from another."""
+    return {
+        "run_no": run_no,
+        "Rank": params.rank,
+        "Reg": params.reg,
+        "Alpha": params.alpha,
+        "Maxiter": params.max_iter,
+        "User_blocks": blocks[0],
+        "Item_blocks": blocks[1],
+    }
 
 
 def _score(recs: DataFrame, truth: DataFrame, k: int, list_precision: bool) -> float:

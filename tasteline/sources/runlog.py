@@ -14,14 +14,28 @@ ALS_SCHEMA = (
 
 
 def append_run(spark: SparkSession, record: dict, path: str) -> None:
-    """Add one finished ALS run to the table of runs."""
+    """Add one finished ALS run to the table of runs; a run of the same number is replaced.
+
+    Each run has a partition of its own, and only that is overwritten, so a
+    retried point leaves one record, and points may finish in any order.
+    """
     kinds = dict(part.split() for part in ALS_SCHEMA.split(", "))
     row = Row(**{n: (int if kind == "int" else float)(record[n]) for n, kind in kinds.items()})
-    spark.createDataFrame([row], ALS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    writer = spark.createDataFrame([row], ALS_SCHEMA).coalesce(1).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("run_no").parquet(path)
 
 
 def load_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(ALS_SCHEMA).parquet(path)
+    names = [part.split()[0] for part in ALS_SCHEMA.split(", ")]
+    return spark.read.schema(ALS_SCHEMA).parquet(path).select(*names)
+
+
+def stored_runs(spark: SparkSession, path: str) -> list[dict]:
+    """The finished runs in ``path``, none if nothing was written there yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return []
+    return [r.asDict() for r in load_runs(spark, path).orderBy("run_no").collect()]
 
 
 def als_line() -> Column:

@@ -273,8 +273,8 @@ def test_shared_lists_without_scores_beyond_head(spark):
         assert [t for t, _ in got[(2,)]] == [3, 7, 11]
 
 
-def test_runs_in_chunks_give_the_same(spark, plays, monkeypatch):
-    """Common lists too long to be broadcast together are worked off in turn."""
+def test_runs_beyond_a_broadcast_give_the_same(spark, plays, monkeypatch):
+    """Common lists too long to be broadcast together are joined by shuffles, in one plan."""
     df, _ = plays
     users = spark.createDataFrame([(u,) for u in range(40)], "user_index int")
     truth_df = spark.createDataFrame([(u, 1, [u, 59 - u]) for u in range(30)], "user_index int, first int, tracks array<int>")
@@ -287,3 +287,37 @@ def test_runs_in_chunks_give_the_same(spark, plays, monkeypatch):
     together = results()
     monkeypatch.setattr(shared, "MOST_BROADCAST", 60)
     assert results() == together
+
+
+def test_hits_of_a_user_with_thousands_of_places(spark):
+    """4,000 seen and 4,000 true tracks, a tenth in both; the work grows with their sum, not their product."""
+    rng = random.Random(2)
+    tracks = list(range(9000))
+    rng.shuffle(tracks)
+    scores = spark.createDataFrame([(0, t, float(9000 - i)) for i, t in enumerate(tracks)], "run_no int, track_index int, rating double")
+    seen, true = rng.sample(tracks, 4000), rng.sample(tracks, 4000)
+    users = spark.createDataFrame([(1,)], "user_index int")
+    seen_df = spark.createDataFrame([(1, t) for t in seen], "user_index int, track_index int")
+    truth = spark.createDataFrame([(1, 1, true)], "user_index int, first int, tracks array<int>")
+    left = [t for t in tracks if t not in set(seen)]
+    for k in (10, 3000, 9000):
+        (row,) = shared.shared_hits(scores, users, truth, k, [0], seen_df, headroom=9000).collect()
+        assert row.hits == [i + 1 for i, t in enumerate(left[:k]) if t in set(true)]
+        assert (row.n_truth, row.n_predicted) == (4000, min(k, 5000))
+    plan = shared.shared_hits(scores, users, truth, 10, [0], seen_df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(_taken" not in plan
+
+
+def test_a_large_grid_is_one_plan(spark, plays, monkeypatch):
+    df, _ = plays
+    users = spark.createDataFrame([(u,) for u in range(40)], "user_index int")
+    truth_df = spark.createDataFrame([(u, 1, [u, 59 - u]) for u in range(30)], "user_index int, first int, tracks array<int>")
+    points = [bias.BiasPoint(True, False, d / 7) for d in range(200)]
+    hits = bias.bias_hits(bias.fit_bias(df, *points), users, truth_df, 7, df, 20)
+    assert hits.select("run_no").distinct().count() == 200
+    monkeypatch.setattr(shared, "MOST_BROADCAST", 60)
+    few = bias.bias_hits(bias.fit_bias(df, *points[:2]), users, truth_df, 7, df, 20)
+    many = bias.bias_hits(bias.fit_bias(df, *points), users, truth_df, 7, df, 20)
+    assert sorted(map(str, many.collect())) == sorted(map(str, hits.collect()))
+    sizes = [f._jdf.queryExecution().optimizedPlan().toString().count("Join ") for f in (few, many)]
+    assert sizes[0] == sizes[1]

@@ -49,6 +49,44 @@ def test_best_model_is_saved(spark, searched):
     assert found["run_no"] == best["run_no"]
 
 
+def test_a_broken_search_goes_on(spark, sf_dir, monkeypatch):
+    train, truth, users = catalog._encoded(spark, sf_dir).train, catalog._truth(spark, sf_dir), catalog._users(spark, sf_dir)
+    paths = {"runs_path": scratch_path(spark, "runs"), "model_path": scratch_path(spark, "best")}
+    grid = [AlsParams(2, 1.0, 1.0, 1), AlsParams(3, 1.0, 1.0, 1), AlsParams(4, 1.0, 1.0, 1)]
+    fits, fit, broken = [], tune.fit_als, [True]
+
+    def watched(rows, params, blocks):
+        if params.rank == 3 and broken[0]:
+            raise RuntimeError("lost")
+        fits.append(params.rank)
+        return fit(rows, params, blocks)
+
+    monkeypatch.setattr(tune, "fit_als", watched)
+    with pytest.raises(RuntimeError, match="lost"):
+        tune.tune_als(train, truth, users, grid, 10, **paths, blocks=(2, 2))
+    assert fits == [2] and len(runlog.stored_runs(spark, paths["runs_path"])) == 1
+    broken[0] = False
+    records = tune.tune_als(train, truth, users, grid, 10, **paths, blocks=(2, 2), at_once=2)
+    assert sorted(fits) == [2, 3, 4]
+    assert records == runlog.stored_runs(spark, paths["runs_path"])
+    best = max(records, key=lambda r: (r["Metric"], -r["run_no"]))
+    assert models.load_model(paths["model_path"]).rank == grid[best["run_no"]].rank
+    # Nothing is left to do; another point of the same number is worked on and replaces the record.
+    assert tune.tune_als(train, truth, users, grid, 10, **paths, blocks=(2, 2)) == records and len(fits) == 3
+    again = tune.tune_als(train, truth, users, [*grid[:2], AlsParams(5, 1.0, 1.0, 1)], 10, **paths, blocks=(2, 2))
+    assert fits[3:] == [5] and again[:2] == records[:2]
+    assert runlog.stored_runs(spark, paths["runs_path"]) == again
+
+
+def test_a_retried_run_leaves_one_record(spark):
+    path = scratch_path(spark, "runs")
+    names = [part.split()[0] for part in runlog.ALS_SCHEMA.split(", ")]
+    for run_no, metric in ((1, 0.5), (0, 0.25), (1, 0.75)):
+        runlog.append_run(spark, dict.fromkeys(names, 1) | {"run_no": run_no, "Metric": metric}, path)
+    assert [(r["run_no"], r["Metric"]) for r in runlog.stored_runs(spark, path)] == [(0, 0.25), (1, 0.75)]
+    assert runlog.stored_runs(spark, scratch_path(spark, "none")) == []
+
+
 def test_first_of_equal_runs_wins(spark):
     df = spark.createDataFrame([(0, 0.1), (1, 0.3), (2, 0.3)], "run_no int, Metric double")
     assert runs.best_run(df).first()["run_no"] == 1
