@@ -9,26 +9,25 @@ import json
 import re
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 from urllib.parse import urljoin
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tasteline.llm import markup
 from tasteline.llm.ship import map_batches
 
-# Elements that end a line of text, and elements whose content is no text.
+# Elements that end a line of text, those whose content is no text, and those with addresses.
 _BREAKS = (
     "address article aside blockquote body br caption dd div dl dt figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hr html legend li main nav ol option p pre section table tbody td tfoot th thead title tr ul"
 )
-_HIDDEN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)")
-_BREAK = re.compile(rf"(?i)</?(?:{'|'.join(_BREAKS.split())})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>")
-_TAG = re.compile(r"</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|<![^>]*>|<\?[^>]*>")
-_TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
-_LINK = re.compile(r"(?is)<(a|area|link|img|script|iframe)\b((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
-_PLACE = re.compile(r"(?is)\b(href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-_LANG = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-zA-Z-]+)")
+_BREAK = frozenset(_BREAKS.split())
+_HIDDEN = frozenset(("script", "style", "template", "noscript"))
+_LINKED = frozenset(("a", "area", "link", "img", "script", "iframe"))
+_LANG = re.compile("[a-zA-Z-]+")
 
 # Columns of an input response and of an output record.
 RESPONSE = ("record_id", "target_uri", "warc_date", "http_headers", "payload")
@@ -49,29 +48,75 @@ def linked_id(record_id: str, kind: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{record_id}#{kind}')}>"
 
 
+class Read(NamedTuple):
+    """What one scan of a page finds: visible lines, (path, address) of links as written, title, language."""
+
+    lines: list[str]
+    places: list[tuple[str, str]]
+    title: str | None
+    language: str | None
+
+
+def read_page(page: str) -> Read:
+    """Visible text with a line per block element, white space collapsed, empty lines left out; links in page order."""
+    lines: list[str] = []
+    pieces: list[str] = []
+    places: list[tuple[str, str]] = []
+    title = language = hidden = None
+
+    def end_line() -> None:
+        line = " ".join("".join(pieces).split())
+        if line:
+            lines.append(line)
+        pieces.clear()
+
+    for kind, name, value in markup.scan(page):
+        if kind == markup.START:
+            if name in _LINKED or (name == "html" and language is None):
+                found = markup.attributes(value)
+                place = next((k for k in found if k in ("href", "src")), None)
+                if name == "html":
+                    match = _LANG.match(found.get("lang", ""))
+                    language = match[0].lower() if match else None
+                elif place:
+                    places.append((f"{name}@{place}", found[place].strip()))
+            if hidden is None and name in _HIDDEN:
+                hidden = name
+                pieces.append(" ")
+        elif kind == markup.END and name == hidden:
+            hidden = None
+        elif kind == markup.RAW_TEXT and name == "title" and title is None:
+            title = " ".join(html.unescape(value).split())
+        if hidden is None:
+            if kind in (markup.TEXT, markup.RAW_TEXT):
+                pieces.append(html.unescape(value) if "&" in value else value)
+            elif name in _BREAK:
+                end_line()
+    end_line()
+    return Read(lines, places, title, language)
+
+
 def plain_text(page: str) -> str:
-    """Visible text of a page, a line per block element, white space collapsed, empty lines left out."""
-    bare = _HIDDEN.sub(" ", page)
-    bare = _TAG.sub("", _BREAK.sub("\n", re.sub(r"\s+", " ", bare)))
-    lines = (" ".join(html.unescape(line).split()) for line in bare.split("\n"))
-    return "\n".join(line for line in lines if line)
+    return "\n".join(read_page(page).lines)
 
 
-def links(page: str, base: str) -> list[dict[str, str]]:
-    """Targets of links and embedded resources in page order, resolved against ``base``."""
+def resolved(places: list[tuple[str, str]], base: str) -> list[dict[str, str]]:
+    """Links with their addresses resolved against ``base``."""
     found = []
-    for tag in _LINK.finditer(re.sub(r"(?s)<!--.*?(?:-->|\Z)", " ", page)):
-        place = _PLACE.search(tag[2])
-        if place:
-            url = html.unescape(place[2] or place[3] or place[4] or "").strip()
-            try:
-                url = urljoin(base, url)
-            except ValueError:  # not an address; kept as written
-                pass
-            found.append({"path": f"{tag[1].lower()}@{place[1].lower()}", "url": url})
+    for path, url in places:
+        try:
+            url = urljoin(base, url)
+        except ValueError:  # not an address; kept as written
+            pass
+        found.append({"path": path, "url": url})
     return found
 
 
+def links(page: str, base: str) -> list[dict[str, str]]:
+    """Targets of links and embedded resources in page order, resolved against ``base``."""
+    return resolved(read_page(page).places, base)
+
+
 def _headers(text: str) -> dict[str, str]:
     lines = text.replace("\r\n", "\n").split("\n")
     pairs = (line.split(":", 1) for line in lines[1:] if ":" in line)
@@ -103,7 +148,7 @@ def _derive(source: dict) -> list[tuple]:
     page, head = source["payload"] or "", source["http_headers"] or ""
     payload = page.encode("utf-8", "surrogatepass")
     sums = (digest(head.encode() + payload), digest(payload))
-    title, lang = _TITLE.search(page), _LANG.search(page)
+    read = read_page(page)
     envelope = {
         "WARC-Refers-To": source["record_id"],
         "WARC-Target-URI": source["target_uri"],
@@ -112,14 +157,14 @@ def _derive(source: dict) -> list[tuple]:
         "HTTP-Status-Line": head.split("\r\n", 1)[0] if head else None,
         "HTTP-Headers": _headers(head),
         "Conversion-Record-ID": linked_id(source["record_id"], "conversion"),
-        "Title": " ".join(html.unescape(title[1]).split()) if title else None,
-        "Language": lang[1].lower() if lang else None,
-        "Links": links(page, source["target_uri"] or ""),
+        "Title": read.title,
+        "Language": read.language,
+        "Links": resolved(read.places, source["target_uri"] or ""),
     }
     about = json.dumps(envelope, ensure_ascii=False, separators=(",", ":"))
     return [
         _record("metadata", source, "application/json", about, sums),
-        _record("conversion", source, "text/plain; charset=utf-8", plain_text(page), sums),
+        _record("conversion", source, "text/plain; charset=utf-8", "\n".join(read.lines), sums),
     ]
 
 
@@ -143,7 +188,8 @@ def derivatives(responses: DataFrame) -> DataFrame:
     archive headers. Work is row by row in one pass. A null payload gives an
     empty text and no links, null headers an empty set, a null address leaves
     links as written. Repeated responses give repeated records; an empty frame
-    gives an empty one.
+    gives an empty one. A page is scanned once, in time in proportion to its length,
+    whatever its tags; a tag that does not end reaches to the end of the page.
     """
     slim = responses.select("source_id", *RESPONSE)
     return map_batches(slim, _derive_batches, _OUT)
