@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -55,6 +56,51 @@ def test_contamination(spark, odd_docs, no_docs):
     assert len(none) == len(docs) and not any(r.contaminated for r in none)
 
 
+def test_a_benchmark_of_many_parts(spark):
+    """600,000 windows: parts overlap in documents, and items share passages."""
+    rng = np.random.default_rng(9)
+    vocab = np.array([f"w{i}" for i in range(3000)])
+    texts = [" ".join(vocab[rng.integers(0, 3000, 1012)]) for _ in range(600)]
+    texts[7] = texts[8][:4000] + " and " + texts[9]
+    items = [(i, t) for i, t in enumerate(texts)] + [(1000, "w1 w2"), (1001, None), (None, "w5 w6 w7")]
+    docs = []
+    for i in range(80):
+        parts = [" ".join(vocab[rng.integers(0, 3000, rng.integers(0, 60))])]
+        for _ in range(rng.integers(0, 4)):
+            words = texts[rng.integers(0, 600)].split()
+            at = rng.integers(0, 950)
+            parts += [" ".join(words[at : at + rng.integers(8, 60)]).upper(), "x" * (i % 2)]
+        docs.append((i, " ".join(parts)))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    assert sum(max(1, len(t.split()) - 12) for _, t in items if t) > 8 * contamination.MAX_PATTERNS
+    found = {r.doc_id: r for r in contamination.contamination_report(frame, benchmark).collect()}
+    wanted = {r[0]: r for r in plain_hits(docs, [("" if i is None else i, t) for i, t in items])}
+    assert {i: tuple(r) for i, r in found.items()} == wanted
+    assert sum(r.n_hit > 0 for r in found.values()) > 40
+    kept = {r.doc_id for r in contamination.decontaminated(frame, benchmark).collect()}
+    assert kept == {i for i, r in wanted.items() if not r[5]}
+
+
+def test_buckets_with_many_patterns(spark):
+    # All windows end alike, so they fall into one bucket.
+    ends = [f"s{i} " + "a " * 11 + "z" for i in range(300)]
+    benchmark = spark.createDataFrame(list(enumerate(ends)), "item_id long, text string")
+    docs = [(i, f"x {ends[i]} y " + "a " * 20 + "z") for i in range(0, 300, 7)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = Counter(map(tuple, contamination.contamination_report(frame, benchmark).collect()))
+    assert got == Counter(plain_hits(docs, list(enumerate(ends))))
+
+
+def test_archive_pages_of_open_tags():
+    for piece in ("<p ", "<a ", "<title>", "<html lang=", "<a href='", "<!--", "<b x=\"", "<script>", "<noscript><br>"):
+        start = time.perf_counter()
+        warc.read_page(piece * (1_000_000 // len(piece)))
+        assert time.perf_counter() - start < 3
+    read = warc.read_page("<html lang=EN-gb><title>a\n&amp; b</title><noscript>no<img src=i></noscript><p>x<br>y <b>z</b><a href=' /q?a&amp;b '>w</a>")
+    assert read == (["a & b", "x", "y zw"], [("img@src", "i"), ("a@href", "/q?a&b")], "a & b", "en-gb")
+
+
 def test_contamination_of_whole_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
