@@ -115,4 +115,33 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM lowered LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLE_SQL = {"op3_source_mix": OP3, "op4_repeated_passages": OP4, "op5_licence_scan": scan_sql(), "op10_decontamination": OP10}
+OP8 = """
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), words AS (
+    SELECT r, doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM docs
+), pairs AS (
+    SELECT doc_id, word, coalesce(lag(word) OVER (PARTITION BY r ORDER BY i), '') AS before FROM words
+), one AS (
+    SELECT word, count(*) AS n FROM words GROUP BY word
+    UNION ALL SELECT '' AS word, count(*) AS n FROM words WHERE i = 0
+), two AS (
+    SELECT before, word, count(*) AS n FROM pairs GROUP BY before, word
+), total AS (
+    SELECT count(*) AS n FROM words
+), scores AS (
+    SELECT two.before, two.word, two.n > 1 AS known,
+           CAST(round(1000000 * ln(CASE WHEN two.n > 1 THEN CAST(two.n - 1 AS DOUBLE) / CAST(b.n - 1 AS DOUBLE)
+               ELSE 0.4 * CAST(greatest(l.n - 1, 1) AS DOUBLE) / CAST(greatest(total.n - 1, 1) AS DOUBLE) END)) AS BIGINT) AS score
+    FROM two JOIN one b ON two.before = b.word JOIN one l ON two.word = l.word, total
+), sums AS (
+    SELECT p.doc_id, count(*) AS n_words, CAST(sum(CASE WHEN known THEN 1 ELSE 0 END) AS BIGINT) AS n_known,
+           CAST(sum(score) AS BIGINT) AS log_score
+    FROM pairs p JOIN scores s ON p.before = s.before AND p.word = s.word GROUP BY p.doc_id
+)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_known, 0) AS n_known, coalesce(log_score, 0) AS log_score,
+       CASE WHEN n_words > 0 THEN round(exp(-(CAST(log_score AS DOUBLE) / n_words / 1000000)), 4) END AS perplexity
+FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN sums s ON d.doc_id IS NOT DISTINCT FROM s.doc_id
+"""
+
+ORACLE_SQL = {"op3_source_mix": OP3, "op4_repeated_passages": OP4, "op5_licence_scan": scan_sql(), "op8_lm_scores": OP8, "op10_decontamination": OP10}
