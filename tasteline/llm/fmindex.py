@@ -210,6 +210,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     usable = slim.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    usable = usable.withColumn("rows", F.lit(1).cast("long"))
     classes, found = duplicate_spans(usable, PLAN, earlier_windows)
     return with_spans(slim, classes, found)
 

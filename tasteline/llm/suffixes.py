@@ -102,7 +102,7 @@ class Suffixes:
         return order
 
     def verified(self, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> bool:
-        """The first ``n`` bytes of each pair are equal and, where both go on, the next ones differ."""
+        """The first ``n`` bytes of each pair are equal."""
         for s in range(0, len(a), 1 << 14):
             p, q, k = self.start[a[s : s + (1 << 14)]], self.start[b[s : s + (1 << 14)]], n[s : s + (1 << 14)]
             if not np.array_equal(self.data[ragged(p, p + k)], self.data[ragged(q, q + k)]):
@@ -110,22 +110,28 @@ class Suffixes:
         return True
 
 
-def _sorted_suffixes(segments: Segments, anchor: np.ndarray, end: np.ndarray) -> tuple[Suffixes, np.ndarray, np.ndarray]:
-    """Order of the suffixes that begin at the anchors, and common lengths of neighbours (first: 0).
+# Sets of byte values that are tried before a part is given up.
+_SEEDS = 100
+
+
+def _sorted_suffixes(
+    segments: Segments, anchor: np.ndarray, end: np.ndarray, least_seed: int
+) -> tuple[Suffixes, np.ndarray, np.ndarray, int]:
+    """Order of the suffixes that begin at the anchors, common lengths of neighbours (first: 0), and the seed used.
 
     Every common length is compared byte by byte; a collision of hashes repeats
     the sort with other byte values.
     """
     first = np.argsort(segments.key, kind="stable")
     group = segments.key[first]
-    for seed in range(1, 100):
+    for seed in range(least_seed, _SEEDS):
         suffixes = Suffixes(segments.data, anchor[first], end[first], seed)
         order = suffixes.sort(group)
         a, b = order[:-1], order[1:]
         common = suffixes.common(a, b)
         common[group[a] != group[b]] = 0
         if suffixes.verified(a, b, common):
-            return suffixes, first[order], np.concatenate([[0], common])
+            return suffixes, first[order], np.concatenate([[0], common]), seed
     raise AssertionError("hashes collide with every set of byte values")
 
 
@@ -139,7 +145,18 @@ def other_windows(segments: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarra
     size = segments.windows + WINDOW  # one byte of separation
     begin = np.cumsum(size) - size
     anchor, end = begin + segments.anchor, begin + size - 1
-    suffixes, order, common = _sorted_suffixes(segments, anchor, end)
+    seed = 0
+    while True:
+        suffixes, order, common, seed = _sorted_suffixes(segments, anchor, end, seed + 1)
+        flag = _repeated(segments, suffixes, order, common, anchor)
+        if flag is not None:
+            return matched_runs(segments, flag)
+
+
+def _repeated(
+    segments: Segments, suffixes: Suffixes, order: np.ndarray, common: np.ndarray, anchor: np.ndarray
+) -> np.ndarray | None:
+    """A flag per window, or None if hashes of different bytes before two anchors are equal."""
     # Bytes before the anchor in a segment's first and last window.
     most, least = segments.anchor[order], segments.anchor[order] - segments.windows[order] + 1
     base = (np.cumsum(segments.windows) - segments.windows)[order]
@@ -158,13 +175,13 @@ def other_windows(segments: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarra
     by = np.argsort(mark, kind="stable")
     same = mark[by][1:] == mark[by][:-1]
     if not _left_equal(segments, anchor, slot[by], np.concatenate(lengths)[by], same):
-        raise AssertionError("hashes of the bytes before an anchor collide")
+        return None
     twice = np.zeros(len(by), dtype=bool)
     twice[1:] |= same
     twice[:-1] |= same
     flag = np.zeros(int(segments.windows.sum()), dtype=bool)
     flag[slot[by[twice]]] = True
-    return matched_runs(segments, flag)
+    return flag
 
 
 def _left_equal(segments: Segments, anchor: np.ndarray, slot: np.ndarray, l: np.ndarray, same: np.ndarray) -> bool:
@@ -195,7 +212,7 @@ def _strip_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 row = block.lo + i
                 own = block.data[block.starts[i] : block.starts[i + 1]]
                 gone = np.zeros(len(own), dtype=bool)
-                if ids[row] is not None and len(own) >= WINDOW:
+                if len(own) >= WINDOW:
                     if copies[row] > 1:
                         gone[:] = True
                     elif pieces[row].is_valid:
@@ -218,11 +235,15 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
 
     Strings of 200 bytes are compared, in the same document or any other. A text
     of several rows (``copies``) occurs elsewhere from end to end; ``spans`` are
-    those of texts of one row. Rows without doc_id or text have null ``copies`` and
-    no spans, and nothing is removed from them or because of them.
+    those of texts of one row. Texts are told apart by their bytes, so rows without
+    a doc_id count like any others. Rows without text have null ``copies`` and no
+    spans.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    usable = slim.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    usable = slim.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("rows", F.lit(1).cast("long"))
+    # Of rows without an id each text is compared once; any id will do.
+    nameless = slim.where("doc_id IS NULL AND text IS NOT NULL").groupBy("text").agg(F.count("*").alias("rows"))
+    usable = usable.unionByName(nameless.withColumn("doc_id", F.lit(0).cast("long")))
     classes, found = duplicate_spans(usable, PLAN, other_windows)
     return with_spans(slim, classes, found)
 

@@ -228,6 +228,18 @@ def spans(fp: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(fp), pa.array(low), pa.array(high)], names=["fp", "low", "high"])
 
 
+def _same_bytes(data: np.ndarray, offset: np.ndarray, size: np.ndarray, leader: np.ndarray) -> np.ndarray:
+    """Whether each segment has the bytes of its leader."""
+    same = size == size[leader]
+    own = np.flatnonzero(same & (leader != np.arange(len(leader))))
+    for s in range(0, len(own), 1 << 14):
+        a = own[s : s + (1 << 14)]
+        p, q, n = offset[a], offset[leader[a]], size[a]
+        equal = data[ragged(p, p + n)] == data[ragged(q, q + n)]
+        same[a] = np.logical_and.reduceat(equal, np.cumsum(n) - n)
+    return same
+
+
 def _cut_batches(plan: Plan, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Segments of a batch by part; the anchors wanted of a text come as a list of packed hashes."""
     for batch in batches:
@@ -269,14 +281,13 @@ def _cut_batches(plan: Plan, parts: int, batches: Iterator[pa.RecordBatch]) -> I
         lead = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
         leader = np.empty(len(order), np.int64)
         leader[order] = lead
-        alone = np.empty(len(order), bool)
-        first = np.flatnonzero(head)
-        counts = np.diff(np.append(first, len(order)))
-        alone[order] = np.repeat(counts == 1, counts)
+        offset = np.cumsum(size) - size
+        # Hashes that collide don't settle anything: such a segment goes on by itself.
+        other = ~_same_bytes(data, offset, size, leader)
+        leader[other] = np.flatnonzero(other)
         if plan.within:
-            settled = ~alone
-            sent = np.zeros(len(order), bool)
-            sent[order[first]] = True
+            sent = leader == np.arange(len(leader))
+            settled = np.bincount(leader, minlength=len(leader))[leader] > 1
         else:
             settled = doc > doc[leader]
             sent = ~settled
@@ -293,7 +304,6 @@ def _cut_batches(plan: Plan, parts: int, batches: Iterator[pa.RecordBatch]) -> I
             )
         order = np.argsort(part, kind="stable")
         bounds = np.searchsorted(part[order], np.arange(parts + 1))
-        offset = np.cumsum(size) - size
         for p, s, e in zip(range(parts), bounds[:-1], bounds[1:]):
             if e > s:
                 own = order[s:e]
@@ -346,15 +356,15 @@ def matched_runs(segments: Segments, matched: np.ndarray) -> tuple[np.ndarray, n
 def duplicate_spans(docs: DataFrame, plan: Plan, kernel: Kernel, parts: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Classes of equal texts (sum, fp, rep, copies) and spans (fp, low, high) to remove from each.
 
-    ``docs`` has doc_id, text (neither null). Equal texts are compared once, by
-    the least doc_id of their class; what follows from being a copy is up to the
-    caller.
+    ``docs`` has doc_id, text (neither null) and ``rows``, the number of rows that
+    one stands for. Equal texts are compared once, by the least doc_id of their
+    class; what follows from being a copy is up to the caller.
     """
     spark = docs.sparkSession
     parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    named = docs.select("doc_id", "text", F.md5(F.col("text").cast("binary")).alias("sum"), F.xxhash64("text").alias("fp"))
-    classes = named.groupBy("sum", "fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    named = docs.select("doc_id", "text", "rows", F.md5(F.col("text").cast("binary")).alias("sum"), F.xxhash64("text").alias("fp"))
+    classes = named.groupBy("sum", "fp").agg(F.min("doc_id").alias("rep"), F.sum("rows").alias("copies"))
     classes = materialize(classes, "span-classes")
 
     marks = map_batches(named.select("fp", "text"), lambda b: _mark_batches(plan, parts, b), _MARK)
@@ -363,7 +373,7 @@ def duplicate_spans(docs: DataFrame, plan: Plan, kernel: Kernel, parts: int | No
     lists = repeats.groupBy("fp").agg(F.collect_list("keys").alias("keys"))
     asked = materialize(classes.select("sum", "rep", "fp").join(lists, "fp"), "span-asked")
 
-    texts = named.drop("fp").join(asked, "sum").where(F.col("doc_id") == F.col("rep"))
+    texts = named.drop("fp", "rows").join(asked, "sum").where(F.col("doc_id") == F.col("rep"))
     texts = texts.select("fp", F.col("rep").alias("id"), "keys", "text")
     segments = map_batches(texts, lambda b: _cut_batches(plan, parts, b), _SEGMENTS)
     segments = segments.repartition(tasks, "part").sortWithinPartitions("part")

@@ -38,15 +38,13 @@ def plain_passages(rows):
 def plain_strings(rows):
     seen = Counter()
     texts = [(i, (t or "").encode()) for i, t in rows]
-    for i, t in texts:
-        if i is not None:
-            seen.update(t[j : j + 200] for j in range(len(t) - 199))
+    for _, t in texts:
+        seen.update(t[j : j + 200] for j in range(len(t) - 199))
     for i, t in texts:
         gone = np.zeros(len(t) + 1, bool)
-        if i is not None:
-            for j in range(len(t) - 199):
-                if seen[t[j : j + 200]] > 1:
-                    gone[j : j + 200] = True
+        for j in range(len(t) - 199):
+            if seen[t[j : j + 200]] > 1:
+                gone[j : j + 200] = True
         runs = int((gone[:-1] & ~np.concatenate([[False], gone[:-1]])[:-1]).sum()) if t else 0
         left = np.frombuffer(t, np.uint8)[~gone[:-1]].tobytes()
         yield i, len(t), int(gone.sum()), runs, hashlib.sha256(left).hexdigest()
@@ -66,6 +64,54 @@ def test_whole_table(spark, sf_dir, report, plain):
     assert got == Counter(plain([(r.doc_id, r.text) for r in docs.collect()]))
 
 
+def test_strings_in_rows_without_an_id(spark):
+    rng = random.Random(8)
+
+    def letters(n):
+        return "".join(rng.choice("abcdefgh") for _ in range(n))
+
+    shared, twice, own = letters(400), letters(300), letters(500)
+    rows = [(1, letters(50) + shared), (None, shared + letters(60)), (None, twice), (None, twice), (None, own), (0, letters(250))]
+    rows += [(None, own + letters(10)), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter(map(tuple, suffixes.string_report(docs).collect()))
+    assert got == Counter(plain_strings(rows))
+    assert sum(n for r, n in got.items() if r[2]) == 6
+
+
+def test_segments_whose_hashes_collide_are_told_apart():
+    data = np.frombuffer(b"abcabcabdab", np.uint8)
+    offset, size = np.array([0, 3, 6, 9]), np.array([3, 3, 3, 2])
+    assert windows._same_bytes(data, offset, size, np.array([0, 0, 0, 0])).tolist() == [True, True, False, False]
+
+
+def test_equal_hashes_before_an_anchor_repeat_the_sort(monkeypatch):
+    """The first byte values don't tell a from b, which stand before the anchors only."""
+    rng = np.random.default_rng(2)
+    tails = [bytes(rng.integers(120, 123, 200, dtype=np.uint8)) for _ in range(2)]
+    heads = [bytes(rng.integers(97, 99, 60, dtype=np.uint8)) for _ in range(4)]
+    texts = [heads[0] + tails[0], heads[1] + tails[0], heads[2] + tails[1], heads[3][:30] + heads[2][30:] + tails[1]]
+    seeds, real = [], suffixes.byte_values
+
+    def values(seed):
+        seeds.append(seed)
+        out = real(seed).copy()
+        if seed == 1:
+            out[97] = out[98]
+        return out
+
+    monkeypatch.setattr(suffixes, "byte_values", values)
+    n = len(texts)
+    segments = windows.Segments(
+        np.arange(n), np.arange(n), np.zeros(n, np.int64), np.full(n, 61), np.full(n, 60), np.ones(n, np.uint64),
+        np.frombuffer(b"".join(t + b"\n" for t in texts), np.uint8),
+    )
+    got = {(f, w) for f, low, high in zip(*suffixes.other_windows(segments)) for w in range(low, high + 1)}
+    seen = Counter(t[w : w + 200] for t in texts for w in range(61))
+    assert got == {(i, w) for i, t in enumerate(texts) for w in range(61) if seen[t[w : w + 200]] > 1}
+    assert len(got) >= 64 and seeds == [1, 2]
+
+
 def test_small_alphabet(spark):
     """Texts that repeat themselves and each other at every shift."""
     rng = random.Random(4)
