@@ -434,6 +434,25 @@ def als_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("user_index", "track_index", close.alias("agrees"))
 
 
+def als_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train users solved anew from the track factors: the same vectors as the fit's, which ends with that step."""
+    model, train = _model(spark, sf_dir), _encoded(spark, sf_dir).train
+    folded = als.fold_in(train, als.item_factors(model), als.AlsParams())
+    own = als.user_factors(model).select(F.col("id").alias("user_index"), F.col("features").alias("_own"))
+    far = F.aggregate(
+        F.zip_with("features", "_own", lambda x, y: F.abs(x - y)), F.lit(0.0).cast("float"), lambda a, x: F.greatest(a, x)
+    )
+    return folded.join(own, folded["id"] == own["user_index"]).select("user_index", (far < 1e-3).alias("agrees"))
+
+
+def track_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train rows per item block of a fit on relabelled tracks."""
+    train = _encoded(spark, sf_dir).train
+    coded = train.join(als.spread_codes(train, "track_index"), "track_index")
+    block = (F.col("code") % als.BLOCKS[1]).alias("block")
+    return coded.groupBy(block).agg(F.count("*").alias("n_rows"))
+
+
 def als_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Factors of a model, saved and loaded again, that are as they were."""
     model = _model(spark, sf_dir)
@@ -540,6 +559,18 @@ def map_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tags.project_2d(sample).select("track_index", "mbtag_with_order", "x", "y")
 
 
+def map_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The neighbour graph under the map."""
+    sample = tags.map_sample(_tagged(spark, sf_dir), MAP_TYPES, MAP_ROWS)
+    return tags.neighbour_graph(sample, block_rows=256)
+
+
+def map_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map that keeps neighbours together."""
+    sample = tags.map_sample(_tagged(spark, sf_dir), MAP_TYPES, MAP_ROWS)
+    return tags.project_neighbours(sample).select("track_index", "mbtag_with_order", "x", "y")
+
+
 # Run logs
 
 
@@ -668,6 +699,8 @@ QUERIES: dict[str, Query] = {
         als_ids,
         als_lists,
         als_agree,
+        als_folded,
+        track_blocks,
         als_saved,
         als_grid,
         als_log,
@@ -679,6 +712,8 @@ QUERIES: dict[str, Query] = {
         n_tags,
         map_sample,
         map_2d,
+        map_edges,
+        map_neighbours,
         als_runs,
         log_names,
         series_metric,

@@ -16,6 +16,7 @@ from tasteline.plans.catalog import (
     TOP,
 )
 from tasteline.operators.sampling import DEFAULT_SEED, MIN_EVAL_FRACTION
+from tasteline.operators.tags import NEIGHBOURS
 
 
 def _padded(prefix: str, key: str) -> str:
@@ -325,6 +326,11 @@ SELECT user_index, n_list, n_list AS n_distinct, CAST(0 AS INTEGER) AS n_seen, t
     "als_agree": f"""WITH {_ENC}
 SELECT user_index, track_index, true AS agrees FROM val
 WHERE track_index IN (SELECT track_index FROM train)""",
+    "als_folded": f"WITH {_ENC} SELECT DISTINCT user_index, true AS agrees FROM train",
+    "track_blocks": f"""WITH {_ENC},
+degrees AS (SELECT track_index, count(*) AS n FROM train GROUP BY track_index),
+coded AS (SELECT n, row_number() OVER (ORDER BY n DESC, track_index) - 1 AS code FROM degrees)
+SELECT CAST(code % {BLOCKS[1]} AS INTEGER) AS block, CAST(sum(n) AS BIGINT) AS n_rows FROM coded GROUP BY code % {BLOCKS[1]}""",
     "als_saved": f"WITH {_ENC} SELECT DISTINCT track_index AS id, true AS same FROM train",
     "als_grid": f"""SELECT CAST(run_no AS INTEGER) AS run_no, "Rank", "Reg", "Alpha", "Maxiter",
   CAST({BLOCKS[0]} AS INTEGER) AS "User_blocks", CAST({BLOCKS[1]} AS INTEGER) AS "Item_blocks",
@@ -346,6 +352,16 @@ FROM tagged""",
     "map_sample": f"""WITH {_TAGGED}
 SELECT track_id, track_index, mbtag, CASE mbtag {_TAG_CASE} END AS mbtag_with_order
 FROM tagged WHERE mbtag IN ({_TAG_LIST}) ORDER BY {_bucket('track_index')}, track_index LIMIT {MAP_ROWS}""",
+    "map_edges": f"""WITH {_TAGGED},
+sample AS (
+  SELECT track_index AS i, features AS e FROM tagged WHERE mbtag IN ({_TAG_LIST})
+  ORDER BY {_bucket('track_index')}, track_index LIMIT {MAP_ROWS}),
+apart AS (
+  SELECT a.i, b.i AS j,
+         list_dot_product(a.e, a.e) + list_dot_product(b.e, b.e) - 2 * list_dot_product(a.e, b.e) AS distance2
+  FROM sample a JOIN sample b ON a.i <> b.i),
+placed AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY distance2, j) AS pos FROM apart)
+SELECT i AS track_index, j AS other, CAST(pos AS INTEGER) AS pos, distance2 FROM placed WHERE pos <= {NEIGHBOURS}""",
     "als_runs": f"WITH {_RUNS} SELECT * FROM runs",
     "log_names": """SELECT DISTINCT CASE l_returnflag WHEN 'A' THEN 'stats_0_25' WHEN 'N' THEN 'stats_1_0'
   ELSE 'stats_lenskit_0_01' END AS log FROM lineitem""",

@@ -321,3 +321,49 @@ def test_a_large_grid_is_one_plan(spark, plays, monkeypatch):
     assert sorted(map(str, many.collect())) == sorted(map(str, hits.collect()))
     sizes = [f._jdf.queryExecution().optimizedPlan().toString().count("Join ") for f in (few, many)]
     assert sizes[0] == sizes[1]
+
+
+def test_relabelled_ids_balance_the_blocks(spark):
+    """Frequent tracks whose codes all fall into one block are spread."""
+    rng = random.Random(1)
+    rows = {(u, 0): 1 for u in range(30)}
+    rows.update({(u, t * 4): rng.randint(1, 5) for t in range(1, 60) for u in rng.sample(range(400), max(2, 300 // t))})
+    rows.update({(u, t): 1 for t in range(240) for u in rng.sample(range(400), 2)})
+    flat = [(u, t, c) for (u, t), c in rows.items()]
+    train = spark.createDataFrame(flat, "user_index int, track_index int, count int").repartition(3)
+    codes = {r.track_index: r.code for r in als.spread_codes(train, "track_index").collect()}
+    assert sorted(codes.values()) == list(range(len(codes)))
+    before, after = [0] * 4, [0] * 4
+    for _, t, _ in flat:
+        before[t % 4] += 1
+        after[codes[t] % 4] += 1
+    assert max(before) > 2 * len(flat) / 4 > max(after)
+    params = als.AlsParams(3, 0.1, 1.0, 3)
+    tables = als.fit_spread(train, params, (4, 4))
+    users = {r.id: np.array(r.features) for r in tables.users.collect()}
+    items = {r.id: np.array(r.features) for r in tables.items.collect()}
+    assert users.keys() == {u for u, _, _ in flat} and items.keys() == {t for _, t, _ in flat}
+    # Mapped back to the right ids: the last step of the fit solved the users from the items.
+    folded = {r.id: np.array(r.features) for r in als.fold_in(train, tables.items, params).collect()}
+    for user, vector in folded.items():
+        assert vector == pytest.approx(users[user], abs=1e-3)
+
+
+def test_folded_users_solve_their_equations(spark):
+    """Whole-number factors, unknown users, a user in many groups, tracks without factors."""
+    rng = np.random.default_rng(3)
+    items = rng.integers(-3, 4, (50, 4)).astype(np.float32)
+    factors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(items)], "id int, features array<float>").repartition(3)
+    rows = [(int(u), int(t), int(c)) for u, t, c in zip(rng.integers(0, 9, 200), rng.integers(0, 50, 200), rng.integers(0, 4, 200))]
+    rows += [(100, t % 50, 1 + t % 3) for t in range(300)] + [(7, 999, 5), (8000, 999, 1)]
+    plays = spark.createDataFrame(rows, "user_index int, track_index int, count int").repartition(4)
+    params = als.AlsParams(4, 0.5, 2.0, 1)
+    got = {r.id: np.array(r.features) for r in als.fold_in(plays, factors, params, fold_rows=7).collect()}
+    assert got.keys() == {u for u, t, _ in rows if t < 50}
+    for user, vector in got.items():
+        own = [(items[t].astype(float), c) for u, t, c in rows if u == user and t < 50]
+        matrix = items.T.astype(float) @ items + sum(2.0 * c * np.outer(y, y) for y, c in own)
+        matrix = matrix + 0.5 * sum(c > 0 for _, c in own) * np.eye(4)
+        right = sum((1 + 2.0 * c) * y for y, c in own if c > 0)
+        assert matrix @ vector == pytest.approx(right, abs=1e-2)
+    assert als.fold_in(plays.where("user_index = 100"), factors, params).count() == 1

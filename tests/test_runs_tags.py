@@ -133,6 +133,44 @@ def test_projection_is_the_principal_plane(spark):
         assert min(np.abs(got[:, i] - s * expected[:, i]).max() for s in (1, -1)) < 1e-3
 
 
+def trustworthiness(points, places, k=10):
+    """1 if all k neighbours on the map are neighbours of the points too, less by how far down they rank there."""
+    n = len(points)
+    apart = [((m[:, None] - m[None, :]) ** 2).sum(axis=2) for m in (points, places)]
+    for d in apart:
+        np.fill_diagonal(d, np.inf)
+    rank = np.argsort(np.argsort(apart[0], axis=1), axis=1) + 1
+    near = np.argsort(apart[1], axis=1)[:, :k]
+    lost = np.maximum(np.take_along_axis(rank, near, axis=1) - k, 0).sum()
+    return 1 - 2 * lost / (n * k * (2 * n - 3 * k - 1))
+
+
+def test_map_keeps_neighbours(spark):
+    """Groups in many dimensions, which no plane shows, stay together on the map."""
+    rng = np.random.default_rng(5)
+    points = np.concatenate([rng.normal(size=12) * 4 + rng.normal(size=(10, 12)) for _ in range(30)]).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(points)]
+    df = spark.createDataFrame(rows, "track_index int, features array<float>").repartition(3)
+    graph = {}
+    for r in tags.neighbour_graph(df, 5, block_rows=64).collect():
+        graph.setdefault(r.track_index, {})[r.pos] = (r.other, r.distance2)
+    apart = ((points[:, None].astype(float) - points[None, :]) ** 2).sum(axis=2)
+    np.fill_diagonal(apart, np.inf)
+    for i, near in graph.items():
+        assert [near[p][0] for p in range(1, 6)] == list(np.argsort(apart[i])[:5])
+        assert near[1][1] == pytest.approx(apart[i].min(), rel=1e-3)
+
+    def places(frame):
+        return np.array([(r.x, r.y) for r in frame.orderBy("track_index").collect()])
+
+    flat, kept = places(tags.project_2d(df)), places(tags.project_neighbours(df, epochs=15))
+    assert trustworthiness(points, kept, 8) > trustworthiness(points, flat, 8) + 0.02
+    again = places(tags.project_neighbours(df.repartition(5), epochs=15))
+    assert np.abs(again - kept).max() < 0.05
+    few = spark.createDataFrame(rows[:2], "track_index int, features array<float>")
+    assert tags.project_neighbours(few).count() == 2
+
+
 def test_tables(spark, sf_dir, tmp_path):
     df = spark.createDataFrame([("u", 1, "t")], "user_id string, count int, track_id string")
     for name in tables.SPLIT_FILES.values():
