@@ -40,7 +40,7 @@ class LmSpec:
 
 
 # Words that a part holds on average.
-_PART_WORDS = 2_000_000
+_PART_WORDS = 1_000_000
 # The word before the first one; no hash of a word, as these have their lowest bit set.
 _START = np.uint64(0)
 
@@ -79,16 +79,30 @@ def _part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return (mix64(keys) % np.uint64(parts)).astype(np.int64)
 
 
-def _word_batches(spec: LmSpec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the words of each batch (kind 0, the start among them) and candidates for hot bigrams (kind 1)."""
+# Words of a batch worked on together.
+_WORDS = 1 << 20
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """(batch, row, word before and word) of about ``_WORDS`` words at a time."""
     for batch in batches:
-        befores, lasts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-        for _, before, last in _bigrams(batch):
-            befores.append(before)
-            lasts.append(last)
-        before, last = np.concatenate(befores), np.concatenate(lasts)
-        if not len(last):
-            continue
+        held, n = [], 0
+        for got in _bigrams(batch):
+            held.append(got)
+            n += len(got[0])
+            if n >= _WORDS:
+                yield batch, *(np.concatenate([h[i] for h in held]) for i in range(3))
+                held, n = [], 0
+        if n:
+            yield batch, *(np.concatenate([h[i] for h in held]) for i in range(3))
+
+
+def _word_batches(spec: LmSpec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of words (kind 0, the start among them) and candidates for hot bigrams (kind 1), some words at a time.
+
+    A bigram of a ``hot_share``-th of all words is one of a share as large of some of these stretches.
+    """
+    for _, _, before, last in _gathered(batches):
         words, n = np.unique(last, return_counts=True)
         words, n = np.append(words, _START), np.append(n, (before == _START).sum())
         pairs, times = np.unique(_pair(before, last), return_counts=True)
@@ -142,25 +156,10 @@ def _packed(part: int, kind: int, *arrays: np.ndarray | bytes) -> dict:
     return {"part": part, "kind": kind, **dict(zip(_FIELDS, cells + [b""] * (4 - len(cells))))}
 
 
-# Words of a batch worked on together, and bytes that hold a bigram of two frequent words.
-_WORDS = 1 << 20
+# Bytes that hold a bigram of two frequent words.
 _KEY_BYTES = 6
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(ids of the batch, row, word before and word) of about ``_WORDS`` words at a time."""
-    for batch in batches:
-        ids, held, n = batch.column("doc").to_numpy(), [], 0
-        for got in _bigrams(batch):
-            held.append(got)
-            n += len(got[0])
-            if n >= _WORDS:
-                yield ids, *(np.concatenate([h[i] for h in held]) for i in range(3))
-                held, n = [], 0
-        if n:
-            yield ids, *(np.concatenate([h[i] for h in held]) for i in range(3))
-
-
 def _rows_by_part(kind: int, part: np.ndarray, parts: int, ids: np.ndarray, row: np.ndarray, *keys: np.ndarray) -> Iterator[dict]:
     """Packed rows of the bigrams of each part, by document; ``keys`` are arrays of so many bytes a bigram."""
     order = np.argsort(part, kind="stable")
@@ -177,8 +176,8 @@ def _spread_batches(
 ) -> Iterator[pa.RecordBatch]:
     """Bigrams of each batch by part: that of the bigram, or of the rare word whose count it needs. Hot ones are scored here."""
     turn = 0
-    for ids, row, before, last in _gathered(batches):
-        rows = []
+    for batch, row, before, last in _gathered(batches):
+        ids, rows = batch.column("doc").to_numpy(), []
         left, right = frequent.places(before), frequent.places(last)
         if len(hot[0]):
             key = _pair(before, last)
