@@ -88,15 +88,14 @@ def test_large_nodes_are_branched(spark, leaf):
 
 
 @pytest.mark.parametrize("spec", [JoinSpec(words=3, percent=85), JoinSpec()])
-@pytest.mark.parametrize("changes", [1, 4])
-def test_nodes_of_thousands(spark, spec, changes):
-    """Thousands of texts about one passage, each with some words of its own: chains, stars, and no links at all."""
-    rng = random.Random(changes)
+def test_nodes_of_thousands(spark, spec):
+    """5,000 texts about one passage, each with one to four words of its own: stars, chains, and no links at all."""
+    rng = random.Random(1)
     passage = [f"p{i}" for i in range(60)]
     rows = []
     for i in range(5000):
         w = list(passage)
-        for at in rng.sample(range(60), rng.randint(1, changes) if rng.random() < 0.5 else changes):
+        for at in rng.sample(range(60), rng.choice([1, 4, rng.randint(1, 4)])):
             w[at] = f"x{rng.randrange(50_000)}" if rng.random() < 0.8 else f"y{rng.randrange(3)}"
         rows.append((i, " ".join(w)))
     got, wanted = compared(spark, rows, spec)
