@@ -38,6 +38,8 @@ DAMPING = 10.0
 MAP_TYPES = ["STANDARD", "ECONOMY", "PROMO"]
 MAP_ROWS = 4_000
 GIVEN_BLOCK_ROWS = 4096
+# Small enough for several waves also on small tables.
+ITEM_BLOCK_ROWS = 512
 
 _WORKSPACES: dict[tuple[str, str], str] = {}
 _BIAS_LOGS: dict[str, str] = {}
@@ -349,7 +351,7 @@ def _flat_items(recs: DataFrame) -> DataFrame:
 def factor_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best validation users of every train track, by given vectors."""
     tracks = joins.distinct_ids(_encoded(spark, sf_dir).train, "track_index")
-    recs = als.recommend_items_by(*_given(spark, sf_dir), tracks, 10, GIVEN_BLOCK_ROWS)
+    recs = als.recommend_items_by(*_given(spark, sf_dir), tracks, 10, ITEM_BLOCK_ROWS)
     return _flat_items(recs).withColumn("rating", F.col("rating").cast("double"))
 
 
