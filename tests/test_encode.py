@@ -1,10 +1,13 @@
+import duckdb
 import pytest
+from oracle_check import mismatch
 from pyspark.errors import PySparkException
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from tasteline.operators import encode
 from tasteline.plans import catalog, prepare
+from tasteline.plans.oracle import ORACLE_SQL
 from tasteline.sources.tables import Splits
 
 
@@ -78,3 +81,22 @@ def test_prepare_codes_tracks_of_all_splits(spark, tmp_path):
         ("t3", 2),
     ]
     assert rows(prepare.eval_users(spark, str(tmp_path)), "user_index") == [(1,)]
+
+
+def test_users_without_train_rows_are_left_out(spark, tmp_path):
+    """Customer 3 bought one part only, and that pair falls into the validation split; a null customer has no code."""
+    orders = [(i, i % 3) for i in range(60)] + [(60, 3), (61, None)]
+    lines = [(i, i // 3, 1.0 + i % 4) for i in range(60)] + [(60, 5, 2.0), (61, 5, 2.0)]
+    made = {"orders": (orders, "o_orderkey long, o_custkey long"),
+            "lineitem": (lines, "l_orderkey long, l_partkey long, l_quantity double")}
+    con = duckdb.connect()
+    for name, (values, schema) in made.items():
+        spark.createDataFrame(values, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    raw = catalog._raw(spark, str(tmp_path))
+    assert "U00000003" in {r["user_id"] for r in raw.validation.collect()}
+    assert "U00000003" not in {r["user_id"] for r in raw.train.collect()}
+    names = ["encoded_val", "encoded_test", "encoding_pairs", "truth_val", "eval_user_ids", "bias_global", "bias_items",
+             "bias_precision", "bias_tune", "als_ids", "als_lists", "als_agree", "als_folded", "als_saved"]
+    for name in names:
+        assert mismatch(con, ORACLE_SQL[name], catalog.QUERIES[name](spark, str(tmp_path))) is None, name
