@@ -58,9 +58,13 @@ class Frequent(NamedTuple):
         return np.where(self.words[at] == words, at, -1)
 
 
+# Bytes of text split into words at once: a task's arrays for that have some 40 times as many.
+_BLOCK_BYTES = 1 << 17
+
+
 def _bigrams(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per block: its documents' rows, and for every word the row, the word before it and the word."""
-    for block in blocks(batch.column("text")):
+    for block in blocks(batch.column("text"), _BLOCK_BYTES):
         words = split_words(block)
         n = np.diff(words.first)
         row = block.lo + np.repeat(np.arange(len(n)), n)
@@ -79,18 +83,19 @@ def _part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return (mix64(keys) % np.uint64(parts)).astype(np.int64)
 
 
-# Words of a batch worked on together.
+# Words of a batch spread together, and counted together; counting holds more copies of them.
 _WORDS = 1 << 20
+_COUNT_WORDS = 1 << 18
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
-    """(batch, row, word before and word) of about ``_WORDS`` words at a time."""
+def _gathered(batches: Iterator[pa.RecordBatch], words: int = _WORDS) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """(batch, row, word before and word) of about ``words`` words at a time."""
     for batch in batches:
         held, n = [], 0
         for got in _bigrams(batch):
             held.append(got)
             n += len(got[0])
-            if n >= _WORDS:
+            if n >= words:
                 yield batch, *(np.concatenate([h[i] for h in held]) for i in range(3))
                 held, n = [], 0
         if n:
@@ -102,7 +107,7 @@ def _word_batches(spec: LmSpec, batches: Iterator[pa.RecordBatch]) -> Iterator[p
 
     A bigram of a ``hot_share``-th of all words is one of a share as large of some of these stretches.
     """
-    for _, _, before, last in _gathered(batches):
+    for _, _, before, last in _gathered(batches, _COUNT_WORDS):
         words, n = np.unique(last, return_counts=True)
         words, n = np.append(words, _START), np.append(n, (before == _START).sum())
         pairs, times = np.unique(_pair(before, last), return_counts=True)
@@ -151,8 +156,22 @@ _PACK = "part int, kind int, " + ", ".join(f"{c} binary" for c in _FIELDS)
 _SCHEMA = pa.schema([("part", pa.int32()), ("kind", pa.int32())] + [(c, pa.binary()) for c in _FIELDS])
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then the next ones, and so on: high bytes that are the same compress."""
+    return numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes() if len(numbers) else b""
+
+
+def _numbers(data: bytes, kind: type, width: int | None = None) -> np.ndarray:
+    """What ``_planes`` packed, of ``width`` bytes each; missing high bytes are zero."""
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(data, np.uint8).reshape(width or size, -1)
+    out = np.zeros((planes.shape[1], size), np.uint8)
+    out[:, : len(planes)] = planes.T
+    return out.reshape(-1).view(kind)
+
+
 def _packed(part: int, kind: int, *arrays: np.ndarray | bytes) -> dict:
-    cells = [a if isinstance(a, bytes) else a.tobytes() for a in arrays]
+    cells = [a if isinstance(a, bytes) else _planes(a) for a in arrays]
     return {"part": part, "kind": kind, **dict(zip(_FIELDS, cells + [b""] * (4 - len(cells))))}
 
 
@@ -160,10 +179,20 @@ def _packed(part: int, kind: int, *arrays: np.ndarray | bytes) -> dict:
 _KEY_BYTES = 6
 
 
+def _named(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Twice the place of frequent words, the hash of rare ones, which is odd."""
+    return np.where(at >= 0, at.astype(np.uint64) << np.uint64(1), words)
+
+
+def _places(named: np.ndarray) -> np.ndarray:
+    """Places out of ``_named``, -1 for rare words."""
+    return np.where(named & np.uint64(1), -1, (named >> np.uint64(1)).astype(np.int64))
+
+
 def _rows_by_part(kind: int, part: np.ndarray, parts: int, ids: np.ndarray, row: np.ndarray, *keys: np.ndarray) -> Iterator[dict]:
     """Packed rows of the bigrams of each part, by document; ``keys`` are arrays of so many bytes a bigram."""
     order = np.argsort(part, kind="stable")
-    row, keys, bounds = row[order], [k[order] for k in keys], np.searchsorted(part[order], np.arange(parts + 1))
+    row, keys, bounds = row[order], [np.ascontiguousarray(k[order]) for k in keys], np.searchsorted(part[order], np.arange(parts + 1))
     for p in np.flatnonzero(np.diff(bounds)).tolist():
         s, e = bounds[p], bounds[p + 1]
         first = np.flatnonzero(np.concatenate([[True], row[s + 1 : e] != row[s : e - 1]]))
@@ -199,8 +228,8 @@ def _spread_batches(
         key = (left[both].astype(np.uint64) << np.uint64(8 * _KEY_BYTES // 2)) | right[both].astype(np.uint64)
         short = key.view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES]
         rows += _rows_by_part(_FREQUENT, _part_of(key, parts), parts, ids, row[both], short)
-        rows += _rows_by_part(_LAST, _part_of(last[end], parts), parts, ids, row[end], last[end], before[end])
-        rows += _rows_by_part(_FIRST, _part_of(before[start], parts), parts, ids, row[start], before[start], last[start])
+        rows += _rows_by_part(_LAST, _part_of(last[end], parts), parts, ids, row[end], last[end], _named(before, left)[end])
+        rows += _rows_by_part(_FIRST, _part_of(before[start], parts), parts, ids, row[start], before[start], _named(last, right)[start])
         for at in range(0, len(rows), 256):
             yield pa.RecordBatch.from_pylist(rows[at : at + 256], schema=_SCHEMA)
 
@@ -223,18 +252,11 @@ def _count_batches(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
 
 def _joined_counts(rows: list[dict], words: np.ndarray) -> np.ndarray:
     """Counts of words from the part's rows of counts, which have all of them."""
-    listed, n = (np.concatenate([np.frombuffer(r[c], t) for r in rows]) for c, t in (("one", np.uint64), ("two", np.int64)))
+    listed, n = (np.concatenate([_numbers(r[c], t) for r in rows]) for c, t in (("one", np.uint64), ("two", np.int64)))
     order = np.argsort(listed)
     return n[order][np.searchsorted(listed[order], words)]
 
 
-def _unpack_keys(data: bytes) -> np.ndarray:
-    short = np.frombuffer(data, dtype=np.uint8).reshape(-1, _KEY_BYTES)
-    out = np.zeros((len(short), 8), dtype=np.uint8)
-    out[:, :_KEY_BYTES] = short
-    return out.reshape(-1).view(np.uint64)
-
-
 class Counted(NamedTuple):
     """Bigrams of a part in order: document, the two keys, and how often the bigram occurs."""
 
@@ -246,14 +268,14 @@ class Counted(NamedTuple):
 
 def _counted(rows: list[dict], short: bool) -> Counted:
     """Count equal bigrams; all bigrams of one pair of words are in one part."""
-    doc = np.concatenate([np.repeat(np.frombuffer(r["doc"], np.int64), np.frombuffer(r["n"], np.int32)) for r in rows])
+    doc = np.concatenate([np.repeat(_numbers(r["doc"], np.int64), _numbers(r["n"], np.int32)) for r in rows])
     if short:
-        key = np.concatenate([_unpack_keys(r["one"]) for r in rows])
+        key = np.concatenate([_numbers(r["one"], np.uint64, _KEY_BYTES) for r in rows])
         half = np.uint64(8 * _KEY_BYTES // 2)
         one, two = key >> half, key & ((np.uint64(1) << half) - np.uint64(1))
         order = np.argsort(key, kind="stable")
     else:
-        one, two = (np.concatenate([np.frombuffer(r[c], np.uint64) for r in rows]) for c in ("one", "two"))
+        one, two = (np.concatenate([_numbers(r[c], np.uint64) for r in rows]) for c in ("one", "two"))
         order = np.lexsort((two, one))
     doc, one, two = doc[order], one[order], two[order]
     first = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])]))
@@ -281,7 +303,7 @@ def _dealt(parts: int, columns: list[np.ndarray]) -> pa.RecordBatch:
     rows = []
     for p in np.flatnonzero(np.diff(bounds)).tolist():
         own = order[bounds[p] : bounds[p + 1]]
-        rows.append({"home": p, **{name: c[own].tobytes() for name, c in zip(("doc", "n", "known", "score"), columns)}})
+        rows.append({"home": p, **{name: _planes(c[own]) for name, c in zip(("doc", "n", "known", "score"), columns)}})
     return pa.RecordBatch.from_pylist(rows, schema=_SUMS_SCHEMA)
 
 
@@ -289,7 +311,7 @@ def _sum_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums per document; rows come sorted by home."""
 
     def summed(rows: list[dict]) -> pa.RecordBatch:
-        doc, *values = (np.concatenate([np.frombuffer(r[c], np.int64) for r in rows]) for c in ("doc", "n", "known", "score"))
+        doc, *values = (np.concatenate([_numbers(r[c], np.int64) for r in rows]) for c in ("doc", "n", "known", "score"))
         order = np.argsort(doc, kind="stable")
         first = np.flatnonzero(np.concatenate([[True], doc[order][1:] != doc[order][:-1]]))
         columns = [doc[order][first], *[np.add.reduceat(v[order], first) for v in values]]
@@ -316,7 +338,7 @@ def _score_part(
     """
     of = {kind: [r for r in rows if r["kind"] == kind] for kind in range(6)}
     for r in of[_HOT]:
-        sums = [np.frombuffer(r[c], t).astype(np.int64) for c, t in zip(_FIELDS, (np.int64, np.int32, np.int32, np.int64))]
+        sums = [_numbers(r[c], t).astype(np.int64) for c, t in zip(_FIELDS, (np.int64, np.int32, np.int32, np.int64))]
         yield _HOT, _dealt(parts, sums)
     if of[_FREQUENT]:
         got = _counted(of[_FREQUENT], True)
@@ -325,12 +347,12 @@ def _score_part(
         yield _HOT, _dealt(parts, _per_doc(got.doc, got.pairs > 1, score))
     if of[_FIRST]:
         got = _counted(of[_FIRST], False)
-        before, last = _joined_counts(of[_COUNTS], got.one), frequent.counts[frequent.places(got.two)]
+        before, last = _joined_counts(of[_COUNTS], got.one), frequent.counts[_places(got.two)]
         score = _scores(spec, got.pairs, before, last, frequent.total)
         yield _HOT, _dealt(parts, _per_doc(got.doc, got.pairs > 1, score))
     if of[_LAST]:
         got = _counted(of[_LAST], False)
-        last, at = _joined_counts(of[_COUNTS], got.one), frequent.places(got.two)
+        last, at = _joined_counts(of[_COUNTS], got.one), _places(got.two)
         lacking = (got.pairs > 1) & (at < 0)
         here = ~lacking
         score = _scores(spec, got.pairs[here], frequent.counts[at[here]], last[here], frequent.total)
@@ -349,7 +371,7 @@ def _score_part(
             yield _LACKING, pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
     if of[_LACKING]:
         doc, pairs, two = (
-            np.concatenate([np.frombuffer(r[c], t) for r in of[_LACKING]])
+            np.concatenate([_numbers(r[c], t) for r in of[_LACKING]])
             for c, t in (("doc", np.int64), ("n", np.int64), ("one", np.uint64))
         )
         score = _known(pairs, _joined_counts(of[_COUNTS], two))

@@ -9,6 +9,7 @@ import time
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -288,3 +289,16 @@ def test_scores_over_a_million_words(spark):
     assert got == set(plain_scores(rows))
 
 
+
+
+def test_score_sums_compress():
+    """In many parts a document has one word or two in each: its sums there must not take four whole numbers."""
+    rng = np.random.default_rng(3)
+    doc = np.sort(rng.choice(10**6, 50_000, replace=False)).astype(np.int64)
+    one = np.ones(len(doc), np.int64)
+    columns = [doc, one, rng.integers(0, 2, len(doc)), -rng.integers(10**6, 2 * 10**7, len(doc))]
+    packed = lm._dealt(20, columns)
+    size = sum(pa.Codec("snappy").compress(row[c]).size for row in packed.to_pylist() for c in ("doc", "n", "known", "score"))
+    assert size <= 9 * len(doc)
+    summed = pa.Table.from_batches(lm._sum_batches(iter([packed])))
+    assert sorted(zip(*summed.to_pydict().values())) == sorted(zip(*(c.tolist() for c in columns)))
