@@ -100,3 +100,22 @@ def test_users_without_train_rows_are_left_out(spark, tmp_path):
              "bias_precision", "bias_tune", "als_ids", "als_lists", "als_agree", "als_folded", "als_saved"]
     for name in names:
         assert mismatch(con, ORACLE_SQL[name], catalog.QUERIES[name](spark, str(tmp_path))) is None, name
+
+
+def test_pairs_without_a_quantity_count_as_no_play(spark, tmp_path):
+    """A fit refuses null counts; user 0 and track 2 have such a pair, and others."""
+    pairs = [(u, t) for u in range(20) for t in range(25) if (u + 2 * t) % 3]
+    orders = [(n, u) for n, (u, _) in enumerate(pairs)]
+    lines = [(n, t, None if (u, t) == (0, 2) else 1.0 + (u * t) % 4) for n, (u, t) in enumerate(pairs)]
+    made = {"orders": (orders, "o_orderkey long, o_custkey long"),
+            "lineitem": (lines, "l_orderkey long, l_partkey long, l_quantity double")}
+    con = duckdb.connect()
+    for name, (values, schema) in made.items():
+        spark.createDataFrame(values, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    sf_dir = str(tmp_path)
+    assert catalog._encoded(spark, sf_dir).train.where("count IS NULL").count() == 1
+    for name in ("als_ids", "als_lists", "als_agree", "als_folded", "als_saved", "als_grid", "als_log"):
+        assert mismatch(con, ORACLE_SQL[name], catalog.QUERIES[name](spark, sf_dir)) is None, name
+    for name in ("als_factors", "als_topk", "als_topk_unseen", "als_items", "als_score", "als_rmse", "als_metrics", "als_test"):
+        assert catalog.QUERIES[name](spark, sf_dir).count(), name
