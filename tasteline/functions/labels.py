@@ -35,10 +35,12 @@ MAP_TAGS = [
 def line_values(line: Column, fields: list[str], flags: list[str]) -> Column:
     """Values of the ``key:value`` parts of a log line, in order, as a struct.
 
-    A line whose parts are too few or of the wrong type fails the job.
+    A part that reads ``null``, as a missing value is written, is null. A line
+    whose parts are too few or of the wrong type fails the job.
     """
     kinds = ", ".join(f"{name} {'boolean' if name in flags else 'double'}" for name in fields)
     values = F.regexp_replace(F.translate(line, " ", ""), "[^,:]*:", "")
+    values = F.regexp_replace(values, "(?<![^,])null(?![^,])", "")
     return F.from_csv(values, kinds, {"mode": "FAILFAST"})
 
 

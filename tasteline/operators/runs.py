@@ -116,5 +116,5 @@ def bias_series(runs: DataFrame, items: bool = True, users: bool = False) -> Dat
 
 
 def best_run(runs: DataFrame, metric: str = "Metric", order: tuple[str, ...] = ("run_no",)) -> DataFrame:
-    """The run with the highest metric, the earliest one among equals."""
-    return runs.orderBy(F.desc(metric), *order).limit(1)
+    """The run with the highest metric, the earliest one among equals; nulls come last."""
+    return runs.orderBy(F.desc(metric), *[F.asc_nulls_last(c) for c in order]).limit(1)

@@ -1,11 +1,14 @@
+import duckdb
 import numpy as np
 import pytest
+from oracle_check import mismatch
 from pyspark.sql import functions as F
 
 from tasteline.functions.labels import MAP_TAGS, log_name
 from tasteline.operators import runs, tags
+from tasteline.plans.oracle import ORACLE_SQL
 from tasteline.session import scratch_path
-from tasteline.sources import runlog, tables
+from tasteline.sources import runlog, starschema, tables
 
 
 @pytest.fixture(scope="module")
@@ -89,6 +92,26 @@ def test_broken_record_fails(spark):
             runs.parse_als_runs(lines).collect()
 
 
+def test_missing_values_in_a_log_are_null(spark, tmp_path):
+    """Every field but the order key is null once; of two best records the one without a rank comes last."""
+    whole = (1, 3, 2, 4.0, 50.0, 0.25, 0.5, "A", "O")
+    rows = [tuple(None if i == n > 0 else x for i, x in enumerate(whole)) for n in range(len(whole))]
+    kinds = ("l_orderkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+             "l_discount double, l_tax double, l_returnflag string, l_linestatus string")
+    rows += [(1, 3, 2, None, 50.0, 0.75, 0.5, "A", "O"), (1, 3, 2, 9.0, 50.0, 0.75, 0.5, "A", "O")]
+    con = duckdb.connect()
+    for name, (values, schema) in {"lineitem": (rows, kinds), "orders": ([(1, 1)], "o_orderkey long, o_custkey long")}.items():
+        spark.createDataFrame(values, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    logs = scratch_path(spark, "logs")
+    runlog.write_logs(starschema.run_log_lines(spark, str(tmp_path)), logs)
+    parsed = runs.parse_als_runs(runlog.read_logs(spark, logs))
+    assert mismatch(con, ORACLE_SQL["als_runs"], runs.sort_runs(parsed, "Rank")) is None
+    best = runs.best_run(parsed, order=("series", "Rank"))
+    assert mismatch(con, ORACLE_SQL["best_run"], best) is None
+    assert best.first()["Rank"] == 90.0
+
+
 @pytest.fixture(scope="module")
 def music(spark):
     tracks = spark.createDataFrame([("t1", "a1"), ("t1", "a1"), ("t2", "a2"), ("t3", "a3"), ("t4", "a1")], "track_id string, artist_id string")
