@@ -72,13 +72,13 @@ def skip_first(runs: DataFrame, n: int, order: list[str]) -> DataFrame:
 
     A series' n-th row in order is found first (one line per series, a few
     hundred bytes, joined back); rows after it stay, and of rows equal to it as
-    many as lie beyond the n-th. No task has to order a whole series.
+    many as lie beyond the n-th. Nulls come last. No task has to order a whole series.
     """
     if n == 0:
         return runs
     keys = [*order, *[c for c in runs.columns if c not in order and c != "series"]]
-    first = top_k(runs, ["series"], [F.asc(c) for c in keys], n)
-    key = F.struct(*keys)
+    first = top_k(runs, ["series"], [F.asc_nulls_last(c) for c in keys], n)
+    key = F.struct(*[x for c in keys for x in (F.isnull(c).alias(f"_no_{c}"), F.col(c))])
     last = first.groupBy("series").agg(F.max(key).alias("_last"), F.max("pos").alias("_pos"))
     equal = first.join(last, "series").where(key == F.col("_last")).groupBy("series").agg(F.count("*").alias("_equal"))
     cut = last.join(equal, "series")

@@ -112,6 +112,14 @@ def test_missing_values_in_a_log_are_null(spark, tmp_path):
     assert best.first()["Rank"] == 90.0
 
 
+def test_skipped_runs_with_nulls(spark):
+    """Nulls come last, and of equal rows as many stay as lie beyond the skipped ones."""
+    rows = [("s", None, 0.1), ("s", 2.0, None), ("s", 1.0, 0.5), ("s", None, 0.1), ("s", 2.0, 0.5)]
+    curve = spark.createDataFrame(rows, "series string, Rank double, Metric double")
+    left = {n: sorted([tuple(r) for r in runs.skip_first(curve, n, ["Rank"]).collect()], key=str) for n in (2, 4, 5)}
+    assert left == {2: [("s", 2.0, None), ("s", None, 0.1), ("s", None, 0.1)], 4: [("s", None, 0.1)], 5: []}
+
+
 @pytest.fixture(scope="module")
 def music(spark):
     tracks = spark.createDataFrame([("t1", "a1"), ("t1", "a1"), ("t2", "a2"), ("t3", "a3"), ("t4", "a1")], "track_id string, artist_id string")
