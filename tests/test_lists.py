@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,6 +219,29 @@ def test_entries_per_row_stay_near_k(spark, monkeypatch, blocks):
     assert sum(moved) <= 3 * k * len(left)
 
 
+def test_lists_of_a_block_leave_in_pieces(monkeypatch):
+    """No batch holds more list entries than scores are held at a time, and every row has its list."""
+    monkeypatch.setattr(blocks_module, "_CELLS", 400)
+    rng, k = np.random.default_rng(9), 20
+    left, right = (rng.integers(-9, 9, (n, 4)).astype(np.float32) for n in (150, 40))
+    taken = [None] * 150 + [list(range(30))]
+    rows = pa.table({
+        "id": pa.array([*range(150), 3], pa.int32()),
+        "features": pa.array([*left.tolist(), None], pa.list_(pa.float32())),
+        "_bound": pa.array([None] * 151, pa.float64()),
+        "_taken": pa.array(taken, pa.list_(pa.int32())),
+    })
+    others = pa.table({"other": pa.array(range(40), pa.int32()), "features": pa.array(right.tolist(), pa.list_(pa.float32()))})
+    result = blocks_module._rank_block(k)(rows, others)
+    batches = result.to_batches()
+    assert len(batches) == 15 and max(len(b.column("other").flatten()) for b in batches) <= 400
+    scores = left.astype(np.float64) @ right.T
+    got = {r["id"]: list(zip(r["other"], r["rating"])) for r in result.to_pylist()}
+    for user in range(150):
+        free = range(30, 40) if user == 3 else range(40)
+        assert got[user] == sorted(((t, scores[user, t]) for t in free), key=lambda e: (-e[1], e[0]))[:k]
+
+
 def test_same_lists_as_the_model(spark, sf_dir):
     model = catalog._model(spark, sf_dir)
     users = catalog._users(spark, sf_dir)
