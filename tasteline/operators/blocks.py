@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasteline.operators.numbering import number_rows
-from tasteline.session import materialize
+from tasteline.operators.sweep import LIST_CELLS, PAIRS, exact, matrix, swept
+from tasteline.session import discard, materialize
 
 # Rows of either side in a block, and pairs to leave out in a pair of blocks.
 BLOCK_ROWS = 16_384
@@ -32,6 +33,10 @@ def top_matches(
     (id, rating) in falling order, equal ratings by rising id. Pairs in
     ``taken`` (id, other) are left out, and the next best ones move up.
 
+    Left rows that are enough for all cores are dealt into parts, and a task for each
+    sweeps the whole right side (``sweep``), so a list is made in one place and moves
+    no more. Fewer left rows share the right side out as well, as follows.
+
     The right side is cut into blocks of ``block_rows`` rows by falling length of
     the vectors, and worked off in waves of ever more blocks. After a wave a row's
     k-th rating is a bound: a block whose longest vector, times the row's own, is
@@ -50,10 +55,17 @@ def top_matches(
         return _partial(left.withColumn("_bound", _no_bound()), whole, cut, (0, 1), [None], k, block_rows)
     longest = [F.col("_norm").desc(), F.col("id")]
     right = number_rows(right.withColumn("_norm", _norm("features")), longest, "topk-right", "_place")
+    left = materialize(left, "topk-left")
+    tasks, n_left = _wanted_tasks(left), left.count()
+    if n_left >= tasks * _MIN_ROWS:
+        n_taken = 0 if taken is None else taken.count()
+        rows = max(1, min(BLOCK_ROWS, LIST_CELLS // k))
+        parts = max(-(-n_left // rows), -(-n_taken // PAIRS), tasks)
+        right = right.withColumn("_block", F.floor(F.col("_place") / BLOCK_ROWS))
+        return _listed(swept(left, right, k, taken, parts))
     right = right.withColumn("_block", F.floor(F.col("_place") / block_rows))
     # One number per block of right rows.
     norms = [r["m"] for r in right.groupBy("_block").agg(F.max("_norm").alias("m")).orderBy("_block").collect()]
-    left = materialize(left, "topk-left")
     if taken is not None:
         place = right.select(F.col("id").alias("other"), "_block")
         taken = materialize(taken.select("id", "other").join(place, "other").select("id", "other", "_block"), "topk-taken")
@@ -64,7 +76,8 @@ def top_matches(
         lists = _merged(found, lists, k)
         if last == blocks:
             return lists.select("id", "matches")
-        lists = materialize(lists, "topk-lists")
+        before, lists = rows, materialize(lists, "topk-lists")
+        discard(before, "topk-lists")
         first, last = last, min(blocks, last * _GROWTH)
 
 
@@ -72,6 +85,10 @@ def top_matches(
 _GROWTH = 4
 
 
+def _wanted_tasks(df: DataFrame) -> int:
+    return 2 * df.sparkSession.sparkContext.defaultParallelism
+
+
 def _no_bound() -> Column:
     return F.lit(None).cast("double")
 
@@ -104,11 +121,10 @@ def _partial(
     first, last = wave
     n_rows = rows.count()
     n_taken = 0 if taken is None else taken.where(F.col("_block").between(first, last - 1)).count()
-    wanted_tasks = 2 * rows.sparkSession.sparkContext.defaultParallelism
     left_blocks = max(
         -(-n_rows // block_rows),
         -(-n_taken // (BLOCK_PAIRS * (last - first))),
-        min(-(-wanted_tasks // (last - first)), n_rows // _MIN_ROWS),
+        min(-(-_wanted_tasks(rows) // (last - first)), n_rows // _MIN_ROWS),
         1,
     )
     left_block = F.pmod(F.hash("id"), F.lit(left_blocks))
@@ -154,23 +170,12 @@ def _partial(
         .cogroup(others.repartitionById(tasks, block).groupBy("_block"))
         .applyInArrow(_rank_block(k), "id int, other array<int>, rating array<double>")
     )
-    matches = F.arrays_zip(F.col("other").alias("id"), F.col("rating")).cast("array<struct<id:int,rating:double>>")
-    return best.select("id", matches.alias("matches"))
-
-
-def _matrix(features: pa.ChunkedArray) -> np.ndarray:
-    features = features.combine_chunks()
-    if features.null_count:
-        raise ValueError("a row without features can't be matched")
-    return features.flatten().to_numpy().reshape(len(features), -1)
+    return _listed(best)
 
 
-def _exact(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Scalar products of row pairs in double, summed in the order of the dimensions."""
-    total = np.zeros(len(left))
-    for d in range(left.shape[1]):
-        total += left[:, d].astype(np.float64) * right[:, d]
-    return total
+def _listed(best: DataFrame) -> DataFrame:
+    matches = F.arrays_zip(F.col("other").alias("id"), F.col("rating")).cast("array<struct<id:int,rating:double>>")
+    return best.select("id", matches.alias("matches"))
 
 
 def _rank_block(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -183,10 +188,10 @@ def _rank_block(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         cut = rows.filter(rows.column("_taken").is_valid())
         others = others.sort_by("other")
         ids = others.column("other").to_numpy().astype(np.int32)
-        right = _matrix(others.column("features"))
+        right = matrix(others.column("features"))
         left_ids = scored.column("id").to_numpy().astype(np.int32)
         order = np.argsort(left_ids)
-        left_ids, left = left_ids[order], _matrix(scored.column("features"))[order]
+        left_ids, left = left_ids[order], matrix(scored.column("features"))[order]
         bound = scored.column("_bound").to_numpy().astype(np.float64)[order]
         bound[np.isnan(bound)] = -np.inf
         row, place = _places(left_ids, ids, cut)
@@ -203,7 +208,7 @@ def _rank_block(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             floor = bound[start : start + step]
             least = np.maximum(np.partition(scores, n - keep, axis=1)[:, n - keep], floor)
             near = np.nonzero((scores >= (least - slack[start : start + step])[:, None]) & (scores > -np.inf))
-            ratings = _exact(part[near[0]], right[near[1]])
+            ratings = exact(part[near[0]], right[near[1]])
             near, ratings = tuple(x[ratings >= floor[near[0]]] for x in near), ratings[ratings >= floor[near[0]]]
             by = np.lexsort((near[1], -ratings, near[0]))
             at = near[0][by]

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tasteline.operators import als, bias, metrics, shared, skew, toplists
+from tasteline.operators import als, bias, metrics, shared, skew, sweep, toplists
 from tasteline.operators import blocks as blocks_module
 from tasteline.operators.blocks import top_matches
 from tasteline.operators.numbering import number_rows
@@ -219,6 +219,73 @@ def test_entries_per_row_stay_near_k(spark, monkeypatch, blocks):
     assert sum(moved) <= 3 * k * len(left)
 
 
+@pytest.mark.parametrize("k", [1, 6, 500])
+@pytest.mark.parametrize("exclude", [False, True])
+@pytest.mark.parametrize("scale", [1.0, 0.37])
+def test_swept_lists_with_ties(spark, vectors, monkeypatch, k, exclude, scale):
+    """Many left rows are swept: the same lists, also for ids that occur twice, in products that are not exact and small parts."""
+    monkeypatch.setattr(blocks_module, "_MIN_ROWS", 1)
+    monkeypatch.setattr(blocks_module, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(blocks_module, "_merged", None)
+    left, right = (v * np.float32(scale) for v in vectors[:2])
+    schema = "id int, features array<float>"
+    left_df = spark.createDataFrame([(i // 2 * 2, v.tolist()) for i, v in enumerate(left)], schema)
+    right_df = spark.createDataFrame([(i // 3 * 3, v.tolist()) for i, v in enumerate(right)], schema)
+    rng = random.Random(1)
+    taken = {0: set(range(0, 90, 3)), 2: set(range(0, 80, 3))}
+    taken.update({i: set(rng.sample(range(0, 90, 3), 8)) for i in range(4, 700, 6)})
+    pairs = [(i, t) for i, ts in taken.items() for t in ts] + [(4, 9999), (10**6, 3), (8, None), (None, 3)]
+    taken_df = spark.createDataFrame(pairs, "id int, other int") if exclude else None
+    got = top_matches(left_df, right_df, k, taken_df, 25).collect()
+    scores = np.zeros((700, 90))
+    for d in range(3):
+        scores += left[:, d, None].astype(np.float64) * right[:, d]
+    expected = []
+    for i in range(700):
+        out = taken.get(i // 2 * 2, set()) if exclude else set()
+        ranked = sorted((-s, j // 3 * 3) for j, s in enumerate(scores[i].tolist()) if j // 3 * 3 not in out)[:k]
+        expected.append((i // 2 * 2, [(j, -s + 0.0) for s, j in ranked]))
+    assert sorted((r["id"], [(m["id"], m["rating"]) for m in r["matches"]]) for r in got) == sorted(expected)
+
+
+def test_lists_of_many_rows_are_not_moved(spark, monkeypatch):
+    """Rows that are enough for all cores: no list is written or joined on the way, each leaves its task once."""
+    rng = np.random.default_rng(3)
+    rows, k = 2 * spark.sparkContext.defaultParallelism * blocks_module._MIN_ROWS, 5
+    left, right = (rng.normal(size=(n, 4)).astype(np.float32) for n in (rows, 60))
+    schema = "id int, features array<float>"
+    frames = [spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], schema) for m in (left, right)]
+    written = []
+
+    def noted(df, label):
+        written.append(label)
+        return materialize(df, label)
+
+    monkeypatch.setattr(blocks_module, "materialize", noted)
+    best = top_matches(*frames, k, block_rows=10)
+    assert "topk-lists" not in written
+    text = best._jdf.queryExecution().executedPlan().toString()
+    assert "matches" not in "".join(line for line in text.splitlines() if "Exchange" in line)
+    assert text.count("Exchange") == 1
+    got = {r.id: [m["id"] for m in r.matches] for r in best.collect()}
+    scores = left.astype(np.float64) @ right.astype(np.float64).T
+    assert got == {i: list(np.argsort(-s, kind="stable")[:k]) for i, s in enumerate(scores)}
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_a_task_keeps_few_entries_a_row(monkeypatch, same):
+    """Blocks of equal ratings, or of ever better ones, do not make a row's list longer than twice k."""
+    monkeypatch.setattr(sweep, "_CELLS", 300)
+    lists = sweep.Lists(4, np.arange(3, dtype=np.int32), np.ones(6, np.float32), *[np.zeros(0, np.int32)] * 2)
+    for block in range(5):
+        right = np.full((100, 2), 1 if same else 1 + block, np.float32)
+        lists.add(np.arange(block * 100, block * 100 + 100, dtype=np.int32), right, float(np.linalg.norm(right[0])))
+    assert lists.ratings.shape[1] <= 4 + 32
+    first = 0 if same else 400
+    got = [r for batch in lists.batches() for r in batch.to_pylist()]
+    assert [r["other"] for r in got] == [list(range(first, first + 4))] * 3
+
+
 def test_lists_of_a_block_leave_in_pieces(monkeypatch):
     """No batch holds more list entries than scores are held at a time, and every row has its list."""
     monkeypatch.setattr(blocks_module, "_CELLS", 400)
