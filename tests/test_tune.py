@@ -1,4 +1,5 @@
 import math
+from pathlib import Path
 
 import pytest
 
@@ -6,7 +7,7 @@ from tasteline.operators import als, bias, runs
 from tasteline.operators.als import AlsParams
 from tasteline.operators.bias import BiasPoint
 from tasteline.plans import catalog, tune
-from tasteline.session import scratch_path
+from tasteline.session import scratch_path, shared_root
 from tasteline.sources import models, runlog
 
 
@@ -108,6 +109,27 @@ def test_unseen_and_list_precision(spark, sf_dir):
     assert 0 <= records[0]["Metric"] <= 1
 
 
+def test_lists_of_a_search_come_in_parts(spark, sf_dir, monkeypatch):
+    """The same metric with few list entries on disk at a time, and no table of the top-k search left."""
+    train, truth, users = catalog._encoded(spark, sf_dir).train, catalog._truth(spark, sf_dir), catalog._users(spark, sf_dir)
+    n_users, sizes, write = users.count(), [], tune.materialize
+
+    def searched():
+        return tune.tune_als(train, truth, users, [AlsParams(2, 1.0, 1.0, 1)], 10, scratch_path(spark, "runs"))[0]["Metric"]
+
+    def noted(df, label):
+        sizes.append((label, df.count()))
+        return write(df, label)
+
+    whole = searched()
+    monkeypatch.setattr(tune, "materialize", noted)
+    monkeypatch.setattr(tune, "LIST_ENTRIES", 10 * n_users // 4)
+    assert searched() == pytest.approx(whole)
+    assert {label for label, _ in sizes} == {"lists"} and sum(n for _, n in sizes) == n_users
+    assert len(sizes) in (4, 5) and max(n for _, n in sizes) < n_users / 2
+    assert not list(Path(shared_root(spark).removeprefix("file://")).glob("tasteline/*/lists-*"))
+
+
 def test_load_or_fit_fits_once(spark, sf_dir):
     path, calls = scratch_path(spark, "model"), []
 
